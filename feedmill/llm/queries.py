@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import bpe, html_extract, mixing, simhash, url_filter, warc
+from feedmill.llm import bpe, html_extract, line_dedup, mixing, quality, simhash, spotsigs, toxicity, url_filter, warc
 from feedmill.runtime import read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -22,6 +22,10 @@ def op2_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited_likeness(read_table(spark, sf_dir, "documents"))
+
+
 def op4_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages"))
 
@@ -34,17 +38,32 @@ def op5_two_tier_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(read_table(spark, sf_dir, "documents"))
+
+
 def op7_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, sf_dir, "documents"))
 
 
+def op8_segment_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_classes(read_table(spark, sf_dir, "documents")).drop("h")
+
+
+def op9_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_bloom_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), url_filter.default_entries(spark))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_tag_path_ratios, op2_pivot_simhash, op4_warc_boundary_chain, op5_two_tier_bpe, op7_block_mix, op10_bloom_url_filter)
+    for f in (
+        op1_tag_path_ratios, op2_pivot_simhash, op3_spotsigs, op4_warc_boundary_chain, op5_two_tier_bpe, op6_rule_cascade,
+        op7_block_mix, op8_segment_edit_join, op9_weak_toxicity, op10_bloom_url_filter,
+    )
 }
 
 ORACLES: dict[str, str] = {}

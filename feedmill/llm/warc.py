@@ -164,7 +164,7 @@ def _rejoined(spark: SparkSession, path: str, placed: DataFrame, broken: DataFra
     texts = _pieces(spark, path).join(parts, ["file", "block", "seq"]).select("file", "own", "at", "value")
     joined = texts.groupBy("file", "own").agg(F.sort_array(F.collect_list(F.struct("at", F.col("value").cast("binary").alias("v")))).alias("parts"))
     whole = F.aggregate(
-        F.slice(F.col("parts.v"), 2, 2**31 - 1), F.col("parts.v")[0], lambda acc, v: F.concat(acc, F.lit(MAGIC.encode()), v)
+        F.slice(F.col("parts.v"), F.lit(2), F.size("parts")), F.col("parts.v")[0], lambda acc, v: F.concat(acc, F.lit(MAGIC.encode()), v)
     )
     full = joined.select("file", F.col("own").alias("at"), whole.alias("whole")).join(broken.drop("next"), ["file", "at"]).select(
         "file", "at", "head",
