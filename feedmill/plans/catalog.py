@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from feedmill.plans import documents, feeds, scalars, serving, stateful  # noqa: F401  (they register)
+from feedmill.plans.registry import ORACLES, QUERIES
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queries()["base_match_latest"](spark, sf_dir)
+    return QUERIES["base_match_latest"](spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
