@@ -208,7 +208,10 @@ def sponsor_keys(t: Tables) -> DataFrame:
     return t.inline(NAMES, "id int, n string").select("id", T.sponsor_key(c).alias("sponsor"), T.employer_key(c).alias("employer"), T.clean_company(c).alias("shown"))
 
 
-@query("""SELECT p_partkey, list_sort(list_distinct(list_filter(regexp_extract_all(lower(p_name), '[a-z0-9]+'), lambda x: len(x) > 1))) AS tokens, regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g') AS loose FROM part""")
+_LEVELS = ", ".join(f"'{w}'" for w in T.LEVEL_WORDS)
+
+
+@query(f"""SELECT p_partkey, list_sort(list_distinct(list_filter(regexp_extract_all(lower(p_name), '[a-z0-9]+'), lambda x: len(x) > 1 AND x NOT IN ({_LEVELS})))) AS tokens, regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g') AS loose FROM part""")
 def role_tokens(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", F.array_sort(T.role_tokens(F.col("p_name"))).alias("tokens"), T.loose_title(F.col("p_name")).alias("loose"))
 

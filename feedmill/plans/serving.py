@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.functions import money as M
+from feedmill.functions import text as T
 from feedmill.operators import reports, serve
 from feedmill.plans.registry import Tables, query
 
@@ -113,9 +114,12 @@ def brief_projection(t: Tables) -> DataFrame:
     )
 
 
-@query("""
-WITH r AS (SELECT p_partkey AS row_id, p_brand AS k, list_distinct(list_filter(regexp_extract_all(lower(p_name), '[a-z0-9]+'), lambda x: len(x) > 1)) AS rt FROM part WHERE p_size <= 10),
-t AS (SELECT p_brand AS k, p_name AS title, count(*)::BIGINT AS n, min(p_partkey) AS ord, any_value(list_distinct(list_filter(regexp_extract_all(lower(p_name), '[a-z0-9]+'), lambda x: len(x) > 1))) AS tt FROM part WHERE p_size > 10 GROUP BY 1, 2),
+_LEVELS = ", ".join(f"'{w}'" for w in T.LEVEL_WORDS)
+
+
+@query(f"""
+WITH r AS (SELECT p_partkey AS row_id, p_brand AS k, list_distinct(list_filter(regexp_extract_all(lower(p_name), '[a-z0-9]+'), lambda x: len(x) > 1 AND x NOT IN ({_LEVELS}))) AS rt FROM part WHERE p_size <= 10),
+t AS (SELECT p_brand AS k, p_name AS title, count(*)::BIGINT AS n, min(p_partkey) AS ord, any_value(list_distinct(list_filter(regexp_extract_all(lower(p_name), '[a-z0-9]+'), lambda x: len(x) > 1 AND x NOT IN ({_LEVELS})))) AS tt FROM part WHERE p_size > 10 GROUP BY 1, 2),
 b AS (SELECT row_id, title, n, ord, rt, tt, len(list_filter(rt, lambda a: len(list_filter(tt, lambda b: a = b OR (len(a) >= 5 AND len(b) >= 5 AND a[1:5] = b[1:5]))) > 0)) AS s FROM r JOIN t USING (k))
 SELECT row_id, title, n, score FROM (SELECT row_id, title, n, round(s::DOUBLE / len(rt), 4)::DOUBLE AS score, row_number() OVER (PARTITION BY row_id ORDER BY s::DOUBLE / len(rt) DESC, n DESC, ord) rn
   FROM b WHERE len(rt) > 0 AND len(tt) > 0 AND ((s::DOUBLE / len(rt) >= 0.6 AND s >= 2) OR list_sort(rt) = list_sort(tt))) WHERE rn = 1""")

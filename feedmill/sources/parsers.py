@@ -114,7 +114,7 @@ def markdown_rows(df: DataFrame, md: str = "md") -> DataFrame:
     w = Window.partitionBy("_doc").orderBy("line_no")
     begins = F.col("_bar") & ~F.coalesce(F.lag("_bar").over(w), F.lit(False))
     tabled = lines.withColumn("_head", begins).withColumn("table_no", F.sum(F.col("_head").cast("int")).over(w)).filter("_bar")
-    cells = F.transform(F.split(F.regexp_replace(F.trim("_l"), r"^\|+|\|+$", ""), r"\|"), F.trim)
+    cells = F.transform(F.split(F.regexp_replace(F.trim("_l"), r"^\|+|\|+$", ""), r"\|"), lambda c: F.trim(c))
     tabled = tabled.withColumn("_c", cells)
     known = F.create_map(*[F.lit(x) for kv in HEADER_ALIASES.items() for x in kv])
     named = F.transform("_c", lambda c: known[F.lower(F.trim(F.substring_index(F.regexp_replace(X.strip_tags(c), r"^\*+|\*+$", ""), "(", 1)))])
