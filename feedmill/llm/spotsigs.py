@@ -25,13 +25,15 @@ ANCHORS = (
     "con del el es los no por se su una y"
 ).split()
 CHAIN = 2
+#: A spot skips at most so many common words before each content word; a longer run of them has no spot at its start.
+MOST_SKIPPED = 16
 
 
 def _spots(text: Column) -> Column:
     """Array of the spots as text, repeats included."""
     words = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     anchor = "(?:" + "|".join(ANCHORS) + ") "
-    chain = rf" (?=((?:{anchor})(?:(?:{anchor})*+[^ ]++ ){{{CHAIN}}}))"
+    chain = rf" (?=((?:{anchor})(?:(?:{anchor}){{0,{MOST_SKIPPED}}}+[^ ]++ ){{{CHAIN}}}))"
     return F.regexp_extract_all(words, F.lit(chain), 1)
 
 
