@@ -37,16 +37,20 @@ def _spots(text: Column) -> Column:
     return F.regexp_extract_all(words, F.lit(chain), 1)
 
 
-def signature(text: Column) -> Column:
-    """Sorted distinct 32-bit hashes of a text's spots."""
-    text = F.coalesce(text, F.lit(""))
+def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Adds sorted distinct 32-bit hashes of a text's spots; null text is empty.
+
+    Two steps, as a column read twice is not put in place of its name: spots are sought once.
+    """
+    text = F.coalesce(F.col(text), F.lit(""))
     anchor = "(?:" + "|".join(ANCHORS) + ") "
     spots = _spots(text)
     # the anchor that opens a spot stays, those inside it go
     hashed = F.transform(spots, lambda s: F.hash(F.regexp_replace(s, rf"(?<= )(?:{anchor})+", "")))
     words = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
     bare = F.when(F.length(F.trim(text)) == 0, F.array().cast("array<int>")).otherwise(F.array(F.hash(F.when(words != "", words).otherwise(text))))
-    return F.when(F.size(hashed) > 0, F.array_sort(F.array_distinct(hashed))).otherwise(bare)
+    found = df.withColumn("_spots", F.sort_array(F.array_distinct(hashed)))
+    return found.withColumn(out, F.when(F.size("_spots") > 0, F.col("_spots")).otherwise(bare)).drop("_spots")
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -96,8 +100,9 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     ids = cut(ids)
     single = ids.agg(F.coalesce(F.max("rows"), F.lit(0))).first()[0] <= 1
     plan = next_ids(ids.select("doc_id", "need")).select(F.col("doc_id").alias("for_id"), "need", "next_id")
-    signed = base.withColumn("sig", signature(F.col("text")))
-    onto = signed.select(F.coalesce("doc_id", F.lit(0)).alias("k"), F.col("doc_id").isNull().alias("k0"), "doc_id", "text", "sig")
+    signed = with_signature(base, "text", "sig")
+    # the same columns for both joins, so that the texts are dealt out once and read twice
+    onto = signed.select(F.coalesce("doc_id", F.lit(0)).alias("k"), F.col("doc_id").isNull().alias("k0"), "text", "sig")
     heads = onto.join(
         plan.select(F.coalesce("next_id", F.lit(0)).alias("k"), F.col("next_id").isNull().alias("k0"), "for_id", "need"), ["k", "k0"]
     )
@@ -110,10 +115,10 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     )
     n = F.length("text")
     both = onto.join(heads, ["k", "k0"]).select(
-        "doc_id", n.cast("long").alias("n_chars"), "sig", "next_sig",
+        F.when(~F.col("k0"), F.col("k")).alias("doc_id"), n.cast("long").alias("n_chars"), "sig", "next_sig",
         F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"), F.expr("substring(head, 1, cast(floor(length(text) / 2) as int))")).alias("edited"),
     )
-    marked = both.select("doc_id", "n_chars", "sig", "next_sig", F.sha2("edited", 256).alias("edited_sha256"), signature(F.col("edited")).alias("edited_sig"))
+    marked = with_signature(both.withColumn("edited_sha256", F.sha2("edited", 256)), "edited", "edited_sig")
     return marked.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("sig")).alias("fingerprint"), fingerprint(F.col("edited_sig")).alias("edited_fingerprint"),
         jaccard(F.col("sig"), F.col("edited_sig")).alias("near_edited"), jaccard(F.col("sig"), F.col("next_sig")).alias("near_next"),
@@ -128,7 +133,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFrame,
     prefix of its spots, rarest first, that two such sets must share, and only against
     length partitions that can reach the threshold.
     """
-    signed = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), signature(F.col("text").cast("string")).alias("sig")))
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    signed = cut(with_signature(base, "text", "sig").select("doc_id", "sig"))
     classes = cut(signed.groupBy("sig").agg(F.min("doc_id").alias("class_id")).withColumn("n", F.size("sig")))
     members = signed.join(classes, "sig").select("doc_id", "class_id")
     spots = classes.filter("n > 0").select("class_id", "n", F.explode("sig").alias("spot"))
