@@ -33,7 +33,7 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var br wbr img".split()
+    "strike strong sub sup time tt u var br wbr img button select svg math canvas audio video object".split()
 )
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
 DROP = frozenset(
@@ -49,8 +49,12 @@ FURNITURE = frozenset(
     "cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login paywall "
     "share sharing social follow "
     "comment comments commentlist respond reply replies disqus discussion "
-    "skip skiplink hidden invisible sr".split()
+    "skip skiplink hidden invisible sr dialog disclaimer adbox adslot adunit adwrap adwrapper adcontainer adspace".split()
 )
+#: Beginnings of such words.
+FURNITURE_STARTS = ("advert", "breadcrumb", "comment", "cookie", "navbar", "newsletter", "notice", "popup", "promo", "sidebar", "sponsor")
+#: An element named header is the page's unless it is named after the text as well.
+OWN_HEADER = frozenset("article post entry content story title".split())
 #: What may carry a furniture word and is the page itself.
 NEVER_FURNITURE = frozenset("html body article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -80,7 +84,8 @@ def _furniture(tag: str, attrs: str) -> tuple[bool, str]:
             names.update(WORDS.findall(CAMEL.sub(" ", value).lower()))
             if key == "class":
                 sign = f"{tag}.{value}"
-    return hidden or bool(names & FURNITURE) and tag not in NEVER_FURNITURE, sign
+    named = bool(names & FURNITURE) or any(n.startswith(FURNITURE_STARTS) for n in names) or "header" in names and not names & OWN_HEADER
+    return hidden or named and tag not in NEVER_FURNITURE, sign
 
 
 class _Node:
@@ -147,8 +152,9 @@ def _blocks(html: str) -> list[tuple[_Node, str, bool]]:
                 held.append(" ")
             elif tag not in VOID:
                 bad, _ = _furniture(tag, attrs)
-                inline.append((tag, hush))
-                hush = hush or bad
+                if not attrs.endswith("/"):
+                    inline.append((tag, hush))
+                    hush = hush or bad or tag in DROP
             continue
         if tag in RAW and not attrs.endswith("/"):
             close = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, pos)
@@ -158,8 +164,6 @@ def _blocks(html: str) -> list[tuple[_Node, str, bool]]:
             if tag == "hr":
                 flush()
             continue
-        if attrs.endswith("/") and tag in ("svg", "math"):
-            continue
         flush()
         inline.clear()
         hush = False
