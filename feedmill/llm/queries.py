@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import bpe, html_extract, line_dedup, mixing, quality, simhash, spotsigs, toxicity, url_filter, warc
+from feedmill.llm import bpe, html_extract, line_dedup, mixing, oracles, quality, simhash, spotsigs, toxicity, url_filter, warc
 from feedmill.runtime import read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -39,7 +39,8 @@ def op5_two_tier_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge_quality(read_table(spark, sf_dir, "documents"))
+    # which rule came first depends on measured costs; the verdict doesn't
+    return quality.judge_quality(read_table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
 def op7_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,4 +67,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_warc_boundary_chain": oracles.WARC, "op6_rule_cascade": oracles.QUALITY, "op10_bloom_url_filter": oracles.URLS}

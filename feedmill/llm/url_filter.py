@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 
 BLOCK_BITS = 512
 PROBES = 8
-#: A filter of more entries than this is split by key over the tasks instead of broadcast.
-BROADCAST_ENTRIES = 4_000_000
+#: A longer list goes to the hash join without a filter, as the driver reads the entries to fill it.
+BROADCAST_ENTRIES = 1_000_000
 #: Host names of the default block list and the domains they are listed under.
 LISTED_NAMES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 LISTED_DOMAINS = ("example.com", "example.net", "example.org")
