@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
 From a bounded sample of labelled training documents come voters: words and
-within-word letter patterns, found once or oftener, that mark toxic texts, chosen one after another by the
+word beginnings, found once or oftener, that mark toxic texts, chosen one after another by the
 training texts they newly cover.  A generative label model then treats the label as
 hidden: every voter fires with a rate of its own in either class and given one other
 voter, its strongest correlate, so accuracies and correlations are both estimated
@@ -14,9 +14,10 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,9 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORDS = re.compile(r"[^\W\d_]+")
-GRAMS = (4, 5)
 STARTS = (3, 4, 5, 6, 7)
-TRAIN_ROWS = 6000  # bound of the labelled sample that the driver fits on
+TRAIN_ROWS = 3000  # bound of the labelled sample that the driver fits on
 MAX_VOTERS = 48
 LEAST_COVER = 2  # training texts that a voter must newly cover
 MAX_TERMS = 192
@@ -36,12 +36,12 @@ THRESHOLD = 0.7
 
 
 def terms_of(word: str) -> list[str]:
-    """The word itself between spaces, its beginnings after a space, and its letter patterns."""
-    return [f" {word} "] + [f" {word[:m]}" for m in STARTS if m <= len(word)] + [word[i : i + m] for m in GRAMS for i in range(len(word) - m + 1)]
+    """The word itself between spaces, and its beginnings after a space."""
+    return [f" {word} "] + [f" {word[:m]}" for m in STARTS if m <= len(word)]
 
 
 def words_of(text: str | None) -> Counter[str]:
-    return Counter(WORDS.findall(text.lower())) if text else Counter()
+    return Counter(map(sys.intern, WORDS.findall(text.lower()))) if text else Counter()
 
 
 def levels(term: str, count: int) -> list[str]:
@@ -102,7 +102,7 @@ def mine_terms(rows: list[tuple[Counter[str], int]], least_gain: float = 25.0, p
     toxic, clean = [w for w, y in rows if y], [w for w, y in rows if not y]
     per_word: dict[str, list[str]] = {}
     df: Counter[str] = Counter()
-    sets = []
+    sets: list[set[str]] = []
     for words in toxic:
         counts: Counter[str] = Counter()
         for w, n in words.items():
@@ -110,10 +110,10 @@ def mine_terms(rows: list[tuple[Counter[str], int]], least_gain: float = 25.0, p
                 per_word[w] = terms_of(w)
             for t in per_word[w]:
                 counts[t] += n
-        terms = {x for t, n in counts.items() for x in levels(t, n)}
-        sets.append(terms)
-        df.update(terms)
+        sets.append({x for t, n in counts.items() for x in levels(t, n)})
+        df.update(sets[-1])
     known = {t for t, n in df.items() if n >= 3}
+    sets = [terms & known for terms in sets]
     against: Counter[str] = Counter()
     hits: dict[str, list[str]] = {}
     for words in clean:
@@ -211,7 +211,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 30
     return float(beta[0]), beta[1:]
 
 
-def fit(rows: list[tuple[str | None, int]]) -> Model:
+def fit(rows: Iterable[tuple[str | None, int]]) -> Model:
     """A model of (text, label) rows; without a toxic or a clean row it scores the base rate."""
     own = _copies_apart([(words_of(t), int(y)) for t, y in rows])
     labels = np.array([y for _, y in own], float)
@@ -254,7 +254,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     )
     texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("text"))
     got = texts.join(F.broadcast(sample), F.col("_id") == sample.doc_id).select("_id", "text", "_toxic")
-    return fit([(r["text"], r["_toxic"]) for r in sorted(got.collect(), key=lambda r: (r["_id"], r["text"] or ""))])
+    # one text at a time: only word counts stay on the driver
+    return fit(((r["text"], r["_toxic"]) for r in got.orderBy("_id", "text").toLocalIterator()))
 
 
 def with_score(docs: DataFrame, model: Model, column: str) -> DataFrame:
