@@ -70,7 +70,7 @@ def _sweep() -> None:
         try:
             delete(spark, path)
         except Exception:  # the session is gone; the folder belongs to the cluster's own cleaner
-            return
+            break
     if _LOCAL_ROOT:
         import shutil
 
