@@ -215,6 +215,6 @@ def fingerprint_hex(fp):
 
 def keep_one(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """Of each group only the document with the smallest doc_id stays (all rows with that id)."""
-    groups = simhash_groups(docs, words_per_shingle, max_bits).groupBy("doc_id").agg(F.min("component_id").alias("_keep"))
-    kept = groups.filter("doc_id <=> _keep or _keep is null").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept._kept_id), "left_semi")
+    groups = simhash_groups(docs, words_per_shingle, max_bits).groupBy("doc_id").agg(F.min("component_id").alias("__keep"))
+    kept = groups.filter("doc_id <=> __keep or __keep is null").select(F.col("doc_id").alias("__kept_id"))
+    return docs.join(kept, docs.doc_id.eqNullSafe(kept["__kept_id"]), "left_semi")
