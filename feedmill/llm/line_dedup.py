@@ -344,13 +344,13 @@ def drop_repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_words:
     The other lines stay as they are; n_chars, if there, is counted anew.
     """
     found = line_classes(docs, max_edits, min_words, min_chars).filter("dropped").select(
-        F.col("doc_id").alias("_d"), F.col("h").alias("_h"), "line_no"
+        F.col("doc_id").alias("__d"), F.col("h").alias("__h"), "line_no"
     ).distinct()
-    per_doc = found.groupBy("_d", "_h").agg(F.collect_set("line_no").alias("_out"))
-    joined = docs.join(per_doc, docs.doc_id.cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(docs.text.cast("string")) == F.col("_h")), "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("_out", i))
-    text = F.when(F.col("_out").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    out = joined.withColumn("text", text).filter(F.col("_out").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    per_doc = found.groupBy("__d", "__h").agg(F.collect_set("line_no").alias("__out"))
+    joined = docs.join(per_doc, docs.doc_id.cast("long").eqNullSafe(F.col("__d")) & (F.xxhash64(docs.text.cast("string")) == F.col("__h")), "left")
+    kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("__out", i))
+    text = F.when(F.col("__out").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    out = joined.withColumn("text", text).filter(F.col("__out").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
