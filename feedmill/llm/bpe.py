@@ -22,8 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEMO = 1 << 18  # remembered pre-tokens of a worker, in each of two generations
-PAIRS = 1 << 20  # remembered pairs of ids
+MEMO = 1 << 16  # remembered pre-tokens of a worker, in each of two generations
+PAIRS = 1 << 18  # remembered pairs of ids
 LONG = 64  # longer pre-tokens are not remembered
 _LOADED: dict[tuple[str, str], Encoder] = {}
 

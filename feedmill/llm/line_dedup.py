@@ -214,7 +214,7 @@ def _candidates(texts: DataFrame, k: int, min_words: int, min_chars: int) -> Dat
                         if len(line) >= min_chars:
                             own = line_id(line)
                             if own not in known:  # a line that this task has sent already needn't go again
-                                if len(known) >= 1 << 20:
+                                if len(known) >= 1 << 18:
                                     known.clear()
                                 known.add(own)
                                 lines.append(line)

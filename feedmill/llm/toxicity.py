@@ -21,7 +21,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +31,7 @@ TRAIN_ROWS = 3000  # bound of the labelled sample that the driver fits on
 MAX_VOTERS = 48
 LEAST_COVER = 2  # training texts that a voter must newly cover
 MAX_TERMS = 192
-MEMO = 1 << 18
+MEMO = 1 << 16  # remembered words of a task
 THRESHOLD = 0.7
 
 
@@ -262,11 +262,11 @@ def with_score(docs: DataFrame, model: Model, column: str) -> DataFrame:
     """``docs`` and the score of its text, empty if null, in ``column``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         one = sent.value.scorer()
         for b in batches:
-            yield pd.Series([one(t) for t in b], dtype="float64")
+            yield pa.array([one(t.as_py()) for t in b], pa.float64())
 
     return docs.withColumn(column, score(F.col("text").cast("string")))
 
