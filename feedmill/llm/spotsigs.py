@@ -29,12 +29,24 @@ CHAIN = 2
 MOST_SKIPPED = 16
 
 
+def _anchor_pattern() -> str:
+    """The anchors by their first letter: a word is tried against few of them."""
+    by_letter: dict[str, list[str]] = {}
+    for a in sorted(set(ANCHORS)):
+        by_letter.setdefault(a[0], []).append(a[1:])
+    return "(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by_letter.items()) + ")"
+
+
+#: Stands before an anchor; no word holds it.
+MARK = "\x01"
+
+
 def _spots(text: Column) -> Column:
-    """Array of the spots as text, repeats included."""
+    """Array of the spots as text, anchors marked, repeats included."""
     words = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    anchor = "(?:" + "|".join(ANCHORS) + ") "
-    chain = rf" (?=((?:{anchor})(?:(?:{anchor}){{0,{MOST_SKIPPED}}}+[^ ]++ ){{{CHAIN}}}))"
-    return F.regexp_extract_all(words, F.lit(chain), 1)
+    marked = F.regexp_replace(words, rf" (?={_anchor_pattern()} )", f" {MARK}")
+    anchor = f"{MARK}[^ ]++ "
+    return F.regexp_extract_all(marked, F.lit(f"(?=({anchor}(?:(?:{anchor}){{0,{MOST_SKIPPED}}}+[^ ]++ ){{{CHAIN}}}))"), 1)
 
 
 def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -43,10 +55,9 @@ def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
     Two steps, as a column read twice is not put in place of its name: spots are sought once.
     """
     text = F.coalesce(F.col(text), F.lit(""))
-    anchor = "(?:" + "|".join(ANCHORS) + ") "
     spots = _spots(text)
     # the anchor that opens a spot stays, those inside it go
-    hashed = F.transform(spots, lambda s: F.hash(F.regexp_replace(s, rf"(?<= )(?:{anchor})+", "")))
+    hashed = F.transform(spots, lambda s: F.hash(F.regexp_replace(s, f"(?<= )(?:{MARK}[^ ]++ )+", "")))
     words = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
     bare = F.when(F.length(F.trim(text)) == 0, F.array().cast("array<int>")).otherwise(F.array(F.hash(F.when(words != "", words).otherwise(text))))
     found = df.withColumn("_spots", F.sort_array(F.array_distinct(hashed)))
