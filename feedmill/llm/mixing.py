@@ -131,7 +131,9 @@ def slots(quota: DataFrame, counts: DataFrame) -> DataFrame:
     """(shard, slot, rank, block, pass): the block that each output slot takes."""
     run = Window.partitionBy("rank").orderBy("shard")
     numbered = counts.withColumn("first", F.sum("n").over(run) - F.col("n")).join(F.broadcast(quota.select("rank", "blocks")), "rank")
-    each = numbered.select(
+    # a few count rows make thousands of slots each: by number, or they would be gathered in one task
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = numbered.repartition(parts, "shard", "rank").select(
         "shard", "rank", "blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot")
     )
     return each.select(
@@ -206,26 +208,26 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     counted anew.
     """
     placed, pieces = mix(docs, block_words)
-    runs = pieces.groupBy("row", "pass").agg(F.sort_array(F.collect_list(F.struct("from", "words"))).alias("runs"))
-    chosen = runs.join(placed.select("row", F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("source").alias("_src")), "row")
-    numbered = docs.withColumn("_n", word_count(F.col("text").cast("string")))
-    same = Window.partitionBy("doc_id", "source", "_n").orderBy(F.xxhash64("text"))
+    runs = pieces.groupBy("row", F.col("pass").alias("__pass")).agg(F.sort_array(F.collect_list(F.struct("from", "words"))).alias("__runs"))
+    chosen = runs.join(placed.select("row", F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.col("source").alias("__src")), "row")
+    numbered = docs.withColumn("__n", word_count(F.col("text").cast("string")))
+    same = Window.partitionBy("doc_id", "source", "__n").orderBy(F.xxhash64("text"))
     key = ["doc_id", "source", "size"]
-    order = placed.withColumn("_k", F.row_number().over(Window.partitionBy(*key).orderBy("row"))).select("row", "_k")
-    left = numbered.withColumn("_k", F.row_number().over(same))
+    order = placed.withColumn("__k", F.row_number().over(Window.partitionBy(*key).orderBy("row"))).select("row", "__k")
+    left = numbered.withColumn("__k", F.row_number().over(same))
     right = chosen.join(order, "row").drop("row")
-    on = left.doc_id.eqNullSafe(right._id) & left.source.eqNullSafe(right._src) & (left._n == right._size) & (left._k == right._k)
+    on = left.doc_id.eqNullSafe(right["__id"]) & left.source.eqNullSafe(right["__src"]) & (left["__n"] == right["__size"]) & (left["__k"] == right["__k"])
     joined = left.join(right, on)
     words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD}{SPACE[:-1]}*)"), 1)
-    whole = F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["words"]) == F.col("_n")
-    joined = joined.withColumn("_w", F.when(~whole, words))
+    whole = F.aggregate("__runs", F.lit(0).cast("long"), lambda a, r: a + r["words"]) == F.col("__n")
+    joined = joined.withColumn("__w", F.when(~whole, words))
 
     def add(acc: Column, r: Column) -> Column:
-        part = F.array_join(F.slice("_w", (r["from"] + 1).cast("int"), r["words"].cast("int")), "")
+        part = F.array_join(F.slice("__w", (r["from"] + 1).cast("int"), r["words"].cast("int")), "")
         gap = F.when((acc["end"] == r["from"]) | (acc["end"] < 0), F.lit("")).otherwise(F.lit("\n"))
         return F.struct(F.concat(acc["text"], gap, part).alias("text"), (r["from"] + r["words"]).alias("end"))
 
-    cut_text = F.rtrim(F.aggregate("runs", F.struct(F.lit("").alias("text"), F.lit(-1).cast("long").alias("end")), add, lambda a: a["text"]))
+    cut_text = F.rtrim(F.aggregate("__runs", F.struct(F.lit("").alias("text"), F.lit(-1).cast("long").alias("end")), add, lambda a: a["text"]))
     out = joined.withColumn("text", F.when(whole, F.col("text")).otherwise(cut_text))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
