@@ -40,6 +40,16 @@ RULES = (
 )
 
 
+def settled(df: DataFrame, keep: list[str], made: list[str]) -> DataFrame:
+    """The same columns, with ``made`` behind a generator of one row.
+
+    The optimizer moves later filters and projections below projections by putting the
+    expressions in place of the names; an array that a lambda reads would then be made
+    anew for every element.  It does not move them below a generator.
+    """
+    return df.select(*keep, F.explode(F.array(F.struct(*made))).alias("_x")).select(*keep, *[F.col(f"_x.{c}").alias(c) for c in made])
+
+
 def with_features(docs: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words to (doc_id, text); null text is empty.
 
@@ -69,6 +79,7 @@ def with_features(docs: DataFrame) -> DataFrame:
     d = d.withColumn(
         "sorted", F.when(repeats, F.array_sort(F.transform("windows", lambda w, i: F.struct(w.alias("w"), i.alias("i")))))
     )
+    d = settled(d, ["doc_id", "text"], ["n_words", "word_chars", "n_symbols", "n_dup_lines", "sorted"])
     same = lambda s, k, step: F.coalesce(F.get("sorted", k + step)["w"] == s["w"], F.lit(False))
     d = d.withColumn(
         "places", F.array_sort(F.transform(F.filter("sorted", lambda s, k: same(s, k, -1) | same(s, k, 1)), lambda s: s["i"]))
@@ -77,7 +88,8 @@ def with_features(docs: DataFrame) -> DataFrame:
         "places", F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")),
         lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3), p - a["last"])).alias("n")), lambda a: a["n"],
     )
-    return d.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("windows", "sorted", "places", "words")
+    d = d.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
+    return settled(d, ["doc_id", "text"], ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
 
 
 BASE_FAILED = "n_words < 50 or 100 * n_repeat_words > 50 * n_words"
@@ -112,7 +124,10 @@ def judge_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows:
     kept rows and where the base test failed.  Null text is empty and fails; nulls in
     doc_id stay; repeated rows each keep a row; other columns are ignored.
     """
-    order = [x["rule"] for x in order_rules(with_features(docs.select("doc_id", "text").limit(sample_rows)), rules, sample_rows)]
+    # cut first: a projection would otherwise move below the limit and run on every partition's share
+    sample = cut(docs.select("doc_id", "text").limit(sample_rows))
+    order = [x["rule"] for x in order_rules(with_features(sample), rules, sample_rows)]
+    discard(sample)
     d = with_features(docs).withColumn("base_failed", F.expr(BASE_FAILED))
     d = d.withColumn("rejected_by", F.when(~F.col("base_failed"), cascade(order)))
     return d.select(
