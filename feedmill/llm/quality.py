@@ -31,7 +31,7 @@ class Rule:
 RULES = (
     Rule("symbol_heavy", "n_symbols > 0.1 * n_words + 2"),
     Rule("mean_word_length", "word_chars < 2 * n_words or word_chars > 16 * n_words"),
-    Rule("repeated_lines", "10 * n_dup_lines > 3 * size(filter(split(text, '\\n'), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]'))"),
+    Rule("repeated_lines", "2 * n_dup_lines > size(filter(split(text, '\\n'), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]'))"),
     Rule("repeated_words", "10 * n_repeat_words > 3 * n_words"),
     Rule("shouting", "length(regexp_replace(text, '[^\\\\p{Lu}]+', '')) > 0.5 * length(regexp_replace(text, '[^\\\\p{L}]+', ''))"),
     Rule("exclamations", "regexp_count(text, '!') > 0.2 * n_words"),
