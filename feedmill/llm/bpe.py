@@ -22,10 +22,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEMO = 1 << 16  # remembered pre-tokens of a worker, in each of two generations
+MEMO = 1 << 17  # remembered pre-tokens of a worker, in each of two generations
 PAIRS = 1 << 18  # remembered pairs of ids
 LONG = 64  # longer pre-tokens are not remembered
-_LOADED: dict[tuple[str, str], Encoder] = {}
+_LOADED: dict[tuple[str, str, int], Encoder] = {}
 
 
 class PerfectVocabulary:
@@ -141,7 +141,8 @@ def read_ranks(path: str) -> list[bytes]:
 class Encoder:
     """Encodes texts; remembers resolved pre-tokens."""
 
-    def __init__(self, vocabulary: PerfectVocabulary, pattern: str) -> None:
+    def __init__(self, vocabulary: PerfectVocabulary, pattern: str, remembered: int = MEMO) -> None:
+        self.remembered = remembered
         self.vocabulary, self.find = vocabulary, regex.compile(pattern).findall
         self.memo: dict[str, tuple[str, tuple[int, ...]]] = {}
         self.older: dict[str, tuple[str, tuple[int, ...]]] = {}
@@ -153,7 +154,7 @@ class Encoder:
             ids = tuple(self.vocabulary.encode_piece(text.encode()))
             got = (",".join(map(str, ids)), ids)
         if len(text) <= LONG:
-            if len(self.memo) >= MEMO:
+            if len(self.memo) >= self.remembered:
                 self.memo, self.older = {}, self.memo
             self.memo[text] = got
         return got
@@ -172,11 +173,12 @@ def decode(ids: list[int], tokens: list[bytes]) -> bytes:
     return b"".join([tokens[i] for i in ids])
 
 
-def _encoder(name: str, vocabulary: PerfectVocabulary, pattern: str) -> Encoder:
+def _encoder(name: str, vocabulary: PerfectVocabulary, pattern: str, remembered: int) -> Encoder:
     """One for each worker process, vocabulary and pattern."""
-    if (name, pattern) not in _LOADED:
-        _LOADED[name, pattern] = Encoder(vocabulary, pattern)
-    return _LOADED[name, pattern]
+    key = (name, pattern, remembered)
+    if key not in _LOADED:
+        _LOADED[key] = Encoder(vocabulary, pattern, remembered)
+    return _LOADED[key]
 
 
 @lru_cache(maxsize=4)
@@ -184,11 +186,12 @@ def load_vocabulary(path: str) -> PerfectVocabulary:
     return PerfectVocabulary(read_ranks(path))
 
 
-def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, with_ids: bool = True) -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, with_ids: bool = True, remembered: int = MEMO) -> DataFrame:
     """(doc_id, text) -> doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids).
 
     The hash table is built on the driver and broadcast; its size is the vocabulary's,
     not the data's.  A null text is encoded as empty: no ids, hashes of nothing.
+    A worker keeps up to twice ``remembered`` resolved pre-tokens, at some 300 bytes each.
     Nulls in doc_id stay and repeated rows each keep a row; other columns are ignored.
     """
     vocabulary = load_vocabulary(vocabulary_path)
@@ -196,7 +199,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, with_i
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(name, sent.value, pattern)
+        encoder = _encoder(name, sent.value, pattern, remembered)
         known = encoder.vocabulary.tokens
         for b in batches:
             counts, shas, backs, lists = [], [], [], []
