@@ -133,7 +133,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         "next", F.col("at") + len(MAGIC) + F.octet_length("head") + len(END) + F.col("clen") + len(END)
     )
     chain = cut(_reachable(candidates))
-    records = candidates.join(chain, ["file", "at"])
+    records = candidates.join(chain.hint("merge"), ["file", "at"])
     whole_ones = records.filter("whole").select("file", "at", "head", "sha", "size")
     broken = cut(records.filter("not whole").select("file", "at", "next", "head", "clen"))
     if broken.count():
