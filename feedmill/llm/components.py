@@ -48,3 +48,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("root"))
     ).distinct()
+
+
+def keep_first(docs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Of each group of texts only the first document stays, by (doc_id, hash of the text), null ids last.
+
+    ``roots`` is (node, root) over ``xxhash64(text)``; a text without a root is a group of its
+    own.  Rows equal in doc_id and text are one document.
+    """
+    h = F.xxhash64(F.col("text").cast("string"))
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "h")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), h.alias("h")).distinct().join(roots, F.col("h") == F.col("node"), "left")
+    rows = cut(rows.select("doc_id", "h", F.coalesce("root", "h").alias("root")))
+    firsts = rows.groupBy("root").agg(F.min(place).alias("c"), F.count("*").alias("m")).filter("m > 1").select("root", "c")
+    same = F.col("doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("h") == F.col("c.h"))
+    gone = rows.join(firsts, "root").filter(~same).select(F.col("doc_id").alias("__d"), F.col("h").alias("__h"))
+    return docs.join(gone, docs.doc_id.cast("long").eqNullSafe(F.col("__d")) & (F.xxhash64(docs.text.cast("string")) == F.col("__h")), "left_anti")
