@@ -13,7 +13,8 @@ with a probability of about n*n / 2**65.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,9 @@ from feedmill.llm.components import connected_components
 from feedmill.runtime import cut, discard
 
 MAX_EDITS = 2
-MIN_WORDS = 3
+#: What the query and the pipeline ask for: every line with a word takes part, and one of SHORT_CHARS characters may differ in an edit.
+MIN_WORDS = 1
+SHORT_CHARS = 12
 MIN_CHARS = 24
 #: With more lines to fetch for verification than this, fetching is left to a shuffle.
 BROADCAST_LINES = 1_000_000
@@ -61,13 +64,23 @@ def segments(n: int, k: int) -> list[tuple[int, int]]:
     return out
 
 
-def probes(n: int, k: int) -> list[tuple[int, int, int, int]]:
+def reach(n: int, max_edits: int, min_chars: int, short_chars: int | None) -> int:
+    """Edits within which a line of n characters links to lines as long or longer: one below ``min_chars``, none below ``short_chars``."""
+    if n >= min_chars:
+        return max_edits
+    return min(1, max_edits) if short_chars is not None and n >= short_chars else 0
+
+
+def probes(n: int, most: int, reach_of: Callable[[int], int]) -> list[tuple[int, int, int, int]]:
     """(indexed length, segment, start, length) of the substrings that a line of n characters probes.
 
     Places that the line's own index entries cover are left out.
     """
     out = []
-    for shorter in range(min(k, n) + 1):
+    for shorter in range(min(most, n) + 1):
+        k = reach_of(n - shorter)
+        if not k or shorter > k:
+            continue
         for i, (p, size) in enumerate(segments(n - shorter, k)):
             low = max(p - i, p + shorter - (k - i), 0)
             high = min(p + i, p + shorter + (k - i), n - size)
@@ -136,7 +149,7 @@ def sketches(lines: list[str]) -> np.ndarray:
     return np.bitwise_xor.reduceat(bits, starts).view(np.int64)
 
 
-def _keys(lines: list[str], ids: list[int], k: int, shapes: dict) -> tuple[list[int], list[int], list[int], list[int]]:
+def _keys(lines: list[str], ids: list[int], most: int, reach_of: Callable[[int], int], shapes: dict) -> tuple[list[int], list[int], list[int], list[int]]:
     """Keys, ids, positions in ``lines`` and roles (1: probe) of all index entries and probes."""
     digest = xxhash.xxh3_64_intdigest
     keys, owners, rows, roles = [], [], [], []
@@ -144,8 +157,8 @@ def _keys(lines: list[str], ids: list[int], k: int, shapes: dict) -> tuple[list[
         n = len(line)
         shape = shapes.get(n)
         if shape is None:
-            index = [(4 * s, 4 * (s + size), n * 16 + i) for i, (s, size) in enumerate(segments(n, k))]
-            ask = [(4 * s, 4 * (s + size), length * 16 + i) for length, i, s, size in probes(n, k)]
+            index = [(4 * s, 4 * (s + size), n * 16 + i) for i, (s, size) in enumerate(segments(n, reach_of(n)))]
+            ask = [(4 * s, 4 * (s + size), length * 16 + i) for length, i, s, size in probes(n, most, reach_of)]
             shape = shapes[n] = (index + ask, [0] * len(index) + [1] * len(ask))
         flat = line.encode("utf-32-le", "surrogatepass")
         places, role = shape
@@ -200,8 +213,8 @@ def _meet(keys: np.ndarray, ids: np.ndarray, marks: np.ndarray, most: int) -> pa
     return pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["u", "v"])
 
 
-def _candidates(texts: DataFrame, k: int, min_words: int, min_chars: int) -> DataFrame:
-    """(text) -> pairs (u, v) of line ids that may be within k edits."""
+def _candidates(texts: DataFrame, k: int, min_words: int, reach_of: Callable[[int], int]) -> DataFrame:
+    """(text) -> pairs (u, v) of line ids that may be within reach, of k edits at most."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shapes: dict = {}
@@ -211,7 +224,7 @@ def _candidates(texts: DataFrame, k: int, min_words: int, min_chars: int) -> Dat
                 lines, ids = [], []
                 for t in b.column(0).slice(part, 256):
                     for _, line in lines_of(t.as_py(), min_words):
-                        if len(line) >= min_chars:
+                        if reach_of(len(line)):
                             own = line_id(line)
                             if own not in known:  # a line that this task has sent already needn't go again
                                 if len(known) >= 1 << 18:
@@ -220,7 +233,7 @@ def _candidates(texts: DataFrame, k: int, min_words: int, min_chars: int) -> Dat
                                 lines.append(line)
                                 ids.append(own)
                 if lines:
-                    keys, owners, rows, roles = _keys(lines, ids, k, shapes)
+                    keys, owners, rows, roles = _keys(lines, ids, k, reach_of, shapes)
                     marks = sketches(lines)[rows] | (np.array(roles, np.int64) << np.int64(63))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(owners, pa.int64()), pa.array(marks)], ["key", "id", "mark"]
@@ -268,8 +281,8 @@ def _line_table(docs: DataFrame, min_words: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, h long, line_no int, id long")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
-    """The pairs that are within k edits; a line's text is read where it first occurs."""
+def _verified(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, reach_of: Callable[[int], int]) -> DataFrame:
+    """The pairs that are within the reach of the shorter line; a line's text is read where it first occurs."""
     needed = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
     spots = cut(needed.join(firsts, "id").select("id", "doc_id", "h", "line_no"))
     per_doc = spots.groupBy(F.col("doc_id").alias("_d"), F.col("h").alias("_h")).agg(F.collect_list(F.struct("line_no", "id")).alias("wanted"))
@@ -291,7 +304,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, k: int) -> D
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ok = [within(x.as_py(), y.as_py(), k) for x, y in zip(b.column(2), b.column(3))]
+            texts = zip(b.column(2).to_pylist(), b.column(3).to_pylist())
+            ok = [within(x, y, reach_of(min(len(x), len(y)))) for x, y in texts]
             yield b.filter(pa.array(ok, pa.bool_())).select(["u", "v"])
 
     both = pairs.join(texts.select(F.col("id").alias("u"), F.col("line").alias("a")), "u").join(
@@ -304,12 +318,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
 
 
-def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_words: int = 3, min_chars: int = MIN_CHARS, short_chars: int | None = None) -> DataFrame:
     """(doc_id, text) -> one row for each line that takes part: doc_id, h, line_no, class_doc_id, class_line_no, n_links, dropped.
 
     Lines are compared without outer white space.  Lines of fewer than ``min_words`` words
-    take no part and are never dropped; lines of fewer than ``min_chars`` characters are only
-    equal to equal ones.  A class is what links of at most ``max_edits`` edits connect; it is
+    take no part and are never dropped.  Lines of fewer than ``min_chars`` characters link
+    within one edit if they have ``short_chars`` characters, and else are only equal to equal
+    ones; of two lines the shorter decides.  A class is what links of at most ``max_edits`` edits connect; it is
     named by its first line, by (doc_id, line_no), null ids last; all but lines equal in place
     and text to that first one are ``dropped``.  n_links counts the other line texts within
     reach.  ``h`` is the hash of the document's text: rows of one doc_id and text are one
@@ -320,8 +335,9 @@ def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_words: int = M
     lines = cut(_line_table(docs, min_words))
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "line_no", "h")
     firsts = cut(lines.groupBy("id").agg(F.min(place).alias("p")).select("id", "p.doc_id", "p.line_no", "p.h"))
-    pairs = cut(_candidates(docs, max_edits, min_words, min_chars))
-    links = _verified(docs, pairs, firsts, max_edits)
+    reach_of = partial(reach, max_edits=max_edits, min_chars=min_chars, short_chars=short_chars)
+    pairs = cut(_candidates(docs, max_edits, min_words, reach_of))
+    links = _verified(docs, pairs, firsts, reach_of)
     discard(pairs)
     degree = links.select(F.col("u").alias("id")).unionAll(links.select("v")).groupBy("id").agg(F.count("*").alias("n_links"))
     roots = connected_components(links).withColumnRenamed("node", "id")
@@ -338,12 +354,12 @@ def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_words: int = M
     )
 
 
-def drop_repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_words: int = 3, min_chars: int = MIN_CHARS, short_chars: int | None = None) -> DataFrame:
     """``docs`` with the dropped lines taken out of ``text``; rows left without any word go, rows that had none stay.
 
     The other lines stay as they are; n_chars, if there, is counted anew.
     """
-    found = line_classes(docs, max_edits, min_words, min_chars).filter("dropped").select(
+    found = line_classes(docs, max_edits, min_words, min_chars, short_chars).filter("dropped").select(
         F.col("doc_id").alias("__d"), F.col("h").alias("__h"), "line_no"
     ).distinct()
     per_doc = found.groupBy("__d", "__h").agg(F.collect_set("line_no").alias("__out"))

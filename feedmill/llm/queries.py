@@ -48,7 +48,8 @@ def op7_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_segment_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_classes(read_table(spark, sf_dir, "documents")).drop("h")
+    docs = read_table(spark, sf_dir, "documents")
+    return line_dedup.line_classes(docs, min_words=line_dedup.MIN_WORDS, short_chars=line_dedup.SHORT_CHARS).drop("h")
 
 
 def op9_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
