@@ -5,7 +5,8 @@ path the text length and the punctuation count are aggregated and divided by the
 number of its nodes; both ratios are smoothed over the nodes in page order with a
 Gaussian window and fused by their product; paths whose fused ratio reaches a
 share of the standard deviation hold content.  The result is every block of the
-smallest element that holds most of that content, without the subtrees that
+article or main that holds most of that content, or else of the smallest element
+that holds all of it with the headings right before it, without the subtrees that
 announce themselves as something else (menus, footers, comments, adverts...).
 """
 
@@ -258,16 +259,21 @@ def main_text(html: str | None, share: float = 0.5, mass: float = 0.8) -> str:
             break
         up = up.parent
     else:
-        while holder is not None and holder.tag not in ("article", "main", "div", "section", "body", "html", ""):
+        # without either, what holds all of the content
+        holder = max((n for n, w in weight.items() if w == total), key=lambda n: n.depth, default=None)
+        while holder is not None and holder.tag not in ("div", "section", "body", "html", ""):
             holder = holder.parent
     kept = []
-    for node, text, _ in blocks:
+    for k, (node, _, _) in enumerate(blocks):
         up = node
         while up is not None and up is not holder:
             up = up.parent
         if up is not None:
-            kept.append(text)
-    return "\n\n".join(kept)
+            kept.append(k)
+    if kept and (holder is None or holder.tag not in ("article", "main")):
+        while kept[0] and blocks[kept[0] - 1][0].tag in HEADINGS:  # a heading right before the holder is the text's
+            kept.insert(0, kept[0] - 1)
+    return "\n\n".join(blocks[k][1] for k in kept)
 
 
 def extract_main_text(pages: DataFrame, share: float = 0.5, mass: float = 0.8) -> DataFrame:
