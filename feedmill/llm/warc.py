@@ -35,7 +35,7 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REV
     Null html is an empty payload.  Of payloads equal in at least ``min_revisit_bytes``
     bytes that with the smallest page_id is stored (every row that repeats this id is),
     the rest are revisits without payload; a null page_id counts as larger than any and
-    is written as an empty id.  CR and LF in urls are percent-encoded.
+    is written as an empty id.  CR, LF and the slash of a magic in urls are percent-encoded.
     """
     rows = pages.select(
         F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
@@ -53,6 +53,7 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REV
     http = F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n")
     block = F.when(revisit, http).otherwise(F.concat(http, "html"))
     uri = F.replace(F.replace(F.coalesce("url", F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    uri = F.replace(uri, F.lit(MAGIC), F.lit(MAGIC.replace("/", "%2F")))  # reading cuts at every magic, and a header must stay whole
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     header = F.concat(
         F.lit(MAGIC + "0\r\nWARC-Type: "), F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")),
