@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.components import connected_components
+from feedmill.llm.components import connected_components, keep_first
 from feedmill.runtime import cut
 
 PIVOTS = 12
@@ -214,7 +214,9 @@ def fingerprint_hex(fp):
 
 
 def keep_one(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """Of each group only the document with the smallest doc_id stays (all rows with that id)."""
-    groups = simhash_groups(docs, words_per_shingle, max_bits).groupBy("doc_id").agg(F.min("component_id").alias("__keep"))
-    kept = groups.filter("doc_id <=> __keep or __keep is null").select(F.col("doc_id").alias("__kept_id"))
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept["__kept_id"]), "left_semi")
+    """Of each group only the first document stays; see :func:`keep_first`."""
+    text = F.col("text").cast("string")
+    prints = cut(with_fingerprint(docs.select(F.xxhash64(text).alias("doc_id"), "text"), words_per_shingle).distinct())
+    roots = connected_components(fingerprint_links(prints.select("fp").distinct(), max_bits))
+    named = prints.join(roots, prints.fp == roots.node, "left")
+    return keep_first(docs, named.select(F.col("doc_id").alias("node"), F.coalesce("root", "fp").alias("root")))
