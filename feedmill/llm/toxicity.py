@@ -1,13 +1,17 @@
 """Toxicity by weak supervision.
 
-From a bounded sample of labelled training documents come voters: words and
-word beginnings, found once or oftener, that mark toxic texts, chosen one after another by the
-training texts they newly cover.  A generative label model then treats the label as
-hidden: every voter fires with a rate of its own in either class and given one other
-voter, its strongest correlate, so accuracies and correlations are both estimated
-(EM over a tree of voters); a voter that does not fire abstains, and a text that
-no voter marks has the vote of one more voter, for clean.  The posterior labels train a logistic classifier on
-the presence of voters and further terms; that classifier scores every document.
+Voters are of three kinds.  Lexicon voters are insults of four languages, pattern
+voters are expressions over the raw text; both are fixed and know no label.  Mined
+voters are words and word beginnings, found once or oftener, that mark toxic texts in
+one part of a bounded sample of labelled training documents, chosen one after another
+by the texts they newly cover: they add the words of a corpus that no list foresees.
+
+A generative label model then treats the label of every sampled text as hidden and
+sees votes only: every voter fires with a rate of its own in either class and given
+one other voter, its strongest correlate, so accuracies and correlations are both
+estimated (EM over a tree of voters, from the guess that a text with a vote is toxic); a text that
+no voter marks has the vote of one more voter, for clean.  The posterior labels train a logistic classifier on the presence of lexicon words, mined
+voters and further terms; that classifier scores every document.
 """
 
 from __future__ import annotations
@@ -28,11 +32,33 @@ from pyspark.sql import functions as F
 WORDS = re.compile(r"[^\W\d_]+")
 STARTS = (3, 4, 5, 6, 7)
 TRAIN_ROWS = 3000  # bound of the labelled sample that the driver fits on
+MINE_PERCENT = 80  # share of the sample, by a hash of the words, whose labels choose voters
 MAX_VOTERS = 48
 LEAST_COVER = 2  # training texts that a voter must newly cover
 MAX_TERMS = 192
 MEMO = 1 << 16  # remembered words of a task
 THRESHOLD = 0.7
+#: Insults by language (fixed values).
+LEXICON = {
+    "en": ("idiot", "idiots", "moron", "morons", "stupid", "dumb", "pathetic", "worthless", "disgusting", "trash", "scum", "loser", "losers", "clown", "clowns", "fool", "jerk",
+           "bastard", "bitch", "shit", "bullshit", "fuck", "fucking", "asshole", "imbecile", "cretin", "retard", "vermin", "filth", "garbage", "coward"),
+    "fr": ("idiot", "idiote", "imbécile", "crétin", "crétine", "abruti", "abrutie", "débile", "connard", "connasse", "salaud", "salope", "ordure", "merde", "minable", "pourriture",
+           "racaille", "dégoûtant", "bouffon", "lâche"),
+    "de": ("idiot", "idioten", "trottel", "dummkopf", "depp", "vollidiot", "arschloch", "scheiße", "scheisse", "drecksau", "abschaum", "versager", "miststück", "schlampe", "wichser",
+           "blödmann", "schwachkopf", "ekelhaft", "erbärmlich", "feigling"),
+    "es": ("idiota", "idiotas", "imbécil", "estúpido", "estúpida", "tonto", "tonta", "pendejo", "cabrón", "gilipollas", "mierda", "puta", "basura", "escoria", "asqueroso", "asquerosa",
+           "payaso", "patético", "inútil", "cobarde"),
+}
+#: Expressions of abuse (fixed values).
+PATTERNS = (
+    r"(?i)\byou(?:'re| are)(?: all| just| such)?(?: an?)? (?:idiot|moron|stupid|pathetic|worthless|disgusting|scum|loser|clown|trash|fool)",
+    r"(?i)\b(?:shut up|go to hell|drop dead|kill yourself|screw you)\b",
+    r"(?i)\b(?:ta gueule|ferme[- ]la|va te faire|espèce d(?:e |'))",
+    r"(?i)\b(?:halt die klappe|halt's maul|verpiss dich|du (?:bist )?(?:ein )?(?:idiot|trottel|depp))",
+    r"(?i)\b(?:cállate|vete a la|eres un[a]? (?:idiota|imbécil|basura)|hijo de puta)",
+    r"(?i)\b[a-z]{1,3}[*@#$%]{2,}[a-z]{0,4}\b",
+)
+_COMPILED = tuple(re.compile(p) for p in PATTERNS)
 
 
 def terms_of(word: str) -> list[str]:
@@ -79,15 +105,33 @@ class Model:
         return score
 
 
-def _copies_apart(rows: list[tuple[Counter[str], int]]) -> list[tuple[Counter[str], int]]:
+@dataclass
+class Row:
+    """What the driver keeps of a training text."""
+
+    words: Counter[str]
+    label: int
+    patterns: tuple[int, ...] = ()
+
+
+def row_of(text: str | None, label: int) -> Row:
+    return Row(words_of(text), int(label), tuple(int(bool(p.search(text or ""))) for p in _COMPILED))
+
+
+def _copies_apart(rows: Iterable[Row]) -> list[Row]:
     """One row for each group of near copies: texts that share their four least word hashes and label."""
-    seen: dict[tuple, tuple[Counter[str], int]] = {}
-    for words, y in rows:
-        low = sorted(zlib.crc32(w.encode()) for w in words)[:4]
-        seen.setdefault((y, *low), (words, y))
+    seen: dict[tuple, Row] = {}
+    for r in rows:
+        low = sorted(zlib.crc32(w.encode()) for w in r.words)[:4]
+        seen.setdefault((r.label, *low), r)
     return list(seen.values())
 
 
+def _mined_from(row: Row) -> bool:
+    """Does the row's label choose voters; by its least word hash, the label apart."""
+    return min((zlib.crc32(w.encode(), 1) for w in row.words), default=0) % 100 < MINE_PERCENT
+
+
 def _gain(p: int, q: int, np_: int, nq: int) -> float:
     """Log-likelihood ratio of a term present in p of np_ toxic and q of nq clean texts."""
     total, out = np_ + nq, 0.0
@@ -97,9 +141,9 @@ def _gain(p: int, q: int, np_: int, nq: int) -> float:
     return out
 
 
-def mine_terms(rows: list[tuple[Counter[str], int]], least_gain: float = 25.0, precision: float = 0.9) -> tuple[list[str], list[str]]:
+def mine_terms(rows: list[Row], least_gain: float = 25.0, precision: float = 0.9) -> tuple[list[str], list[str]]:
     """(voters, further terms) that mark toxic texts."""
-    toxic, clean = [w for w, y in rows if y], [w for w, y in rows if not y]
+    toxic, clean = [r.words for r in rows if r.label], [r.words for r in rows if not r.label]
     per_word: dict[str, list[str]] = {}
     df: Counter[str] = Counter()
     sets: list[set[str]] = []
@@ -154,9 +198,10 @@ def mine_terms(rows: list[tuple[Counter[str], int]], least_gain: float = 25.0, p
 def label_model(votes: np.ndarray, prior: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, list[dict]]:
     """Posterior of the hidden label for each row of 0/1 votes, and each voter's rates.
 
-    ``prior`` is a first guess of the posteriors; it sets the balance of the classes and
-    half of the weight in every round.  Voters form a tree by their correlation within
-    the classes; a voter's rate depends on class and parent's vote.
+    ``prior`` is a first guess of the posteriors, made of votes alone; it sets the balance
+    of the classes and half of the weight in every round, without which the classes may
+    change places.  Voters form a tree by their correlation within the guessed classes; a
+    voter's rate depends on class and parent's vote, and one that does not fire abstains.
     """
     n, m = votes.shape
     post = np.clip(prior, 0.02, 0.98)
@@ -211,31 +256,38 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 30
     return float(beta[0]), beta[1:]
 
 
-def fit(rows: Iterable[tuple[str | None, int]]) -> Model:
-    """A model of (text, label) rows; without a toxic or a clean row it scores the base rate."""
-    own = _copies_apart([(words_of(t), int(y)) for t, y in rows])
-    labels = np.array([y for _, y in own], float)
+def fit(rows: Iterable[tuple[str | None, int]], posterior: bool = True) -> Model:
+    """A model of (text, label) rows; without a toxic or a clean row it scores the base rate.
+
+    ``posterior`` False trains the classifier on the labels themselves, for comparison.
+    """
+    own = _copies_apart(row_of(t, y) for t, y in rows)
+    labels = np.array([r.label for r in own], float)
     if not len(own) or labels.min() == labels.max():
         rate = (labels.sum() + 0.5) / (len(own) + 10)
         return Model(math.log(rate / (1 - rate)), {})
-    voters, more = mine_terms(own)
-    ids = {t: i for i, t in enumerate([*voters, *more])}
+    mined, more = mine_terms([r for r in own if _mined_from(r)])
+    listed = sorted({f" {w} " for words in LEXICON.values() for w in words if any(w in r.words for r in own)})
+    voters = [*listed, *(t for t in mined if t not in listed)]
+    ids = {t: i for i, t in enumerate(dict.fromkeys([*voters, *more]))}
     x = np.zeros((len(own), len(ids)))
     memo: dict[str, list[str]] = {}
     base = {t.partition("#")[0] for t in ids}
-    for r, (words, _) in enumerate(own):
+    for r, row in enumerate(own):
         counts: Counter[str] = Counter()
-        for w, n in words.items():
+        for w, n in row.words.items():
             if w not in memo:
                 memo[w] = [t for t in terms_of(w) if t in base]
             for t in memo[w]:
                 counts[t] += n
         x[r, [ids[y] for t, n in counts.items() for y in levels(t, n) if y in ids]] = 1
-    votes = x[:, : len(voters)]
-    votes = np.hstack([votes, votes.sum(axis=1, keepdims=True) == 0])
-    post, shape = label_model(votes, labels)
-    bias, weights = logistic(x, post)
-    return Model(bias, {t: float(w) for t, w in zip(ids, weights)}, [{"term": t, **s} for t, s in zip([*voters, "(none of these)"], shape)])
+    said = np.array([r.patterns for r in own], float)
+    names = [*voters, *(p for p, heard in zip(PATTERNS, said.any(axis=0)) if heard)]
+    votes = np.hstack([x[:, : len(voters)], said[:, said.any(axis=0)]])
+    silent = votes.sum(axis=1) == 0
+    post, shape = label_model(np.hstack([votes, silent[:, None]]), np.where(silent, 0.02, 0.9))
+    bias, weights = logistic(x, post if posterior else labels)
+    return Model(bias, {t: float(w) for t, w in zip(ids, weights)}, [{"term": t, **s} for t, s in zip([*names, "(none of these)"], shape)])
 
 
 def remainder(doc_id):
@@ -245,17 +297,18 @@ def remainder(doc_id):
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """A model from at most ``rows`` labelled documents, none of which is held out.
 
-    The sample is the labelled rows of least hash, so reruns agree; of repeated labels of
-    a doc_id the larger holds, and labels that are null are no labels.
+    The sample is the labelled ids of least hash, so reruns agree; of repeated labels of
+    a doc_id the larger holds, of repeated documents the text that sorts first, and labels
+    that are null are no labels.
     """
     sample = (
         labels.filter("toxic is not null and doc_id is not null").filter(remainder(F.col("doc_id")) != 1)
         .groupBy("doc_id").agg(F.max("toxic").alias("_toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
     texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("text"))
-    got = texts.join(F.broadcast(sample), F.col("_id") == sample.doc_id).select("_id", "text", "_toxic")
+    got = texts.join(F.broadcast(sample), F.col("_id") == sample.doc_id).groupBy("_id").agg(F.min("text").alias("text"), F.first("_toxic").alias("_toxic"))
     # one text at a time: only word counts stay on the driver
-    return fit(((r["text"], r["_toxic"]) for r in got.orderBy("_id", "text").toLocalIterator()))
+    return fit((r["text"], r["_toxic"]) for r in got.orderBy("_id").toLocalIterator())
 
 
 def with_score(docs: DataFrame, model: Model, column: str) -> DataFrame:

@@ -171,3 +171,25 @@ def test_rows_of_queries_are_whole(spark):
     n = con.execute(f"select count(*) from '{SF}/documents.parquet'").fetchone()[0]
     for name in ("op6_rule_cascade", "op9_weak_toxicity"):
         assert queries.QUERIES[name](spark, SF).count() == n
+
+
+def test_training_rows_keep_their_bound(spark):
+    docs = spark.createDataFrame([(i % 5, f"word{i} idiot" if i % 2 else f"word{i}") for i in range(50)] + [(None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(5)] + [(None, 1)], "doc_id long, toxic int")
+    seen = []
+    real = toxicity.fit
+    toxicity.fit = lambda rows: seen.extend(rows) or real([])
+    try:
+        toxicity.train(docs, labels, 3)
+    finally:
+        toxicity.fit = real
+    assert 0 < len(seen) <= 3 and len({t for t, _ in seen}) == len(seen)
+
+
+def test_voters_of_the_lists_need_no_label():
+    rows = [(f"plain words number {i} here" + (" you are an idiot and scum" if i % 7 == 0 else ""), int(i % 7 == 0)) for i in range(400)]
+    model = toxicity.fit(rows)
+    names = {v["term"] for v in model.voters}
+    assert {" idiot ", " scum "} <= names and any(v["term"] in toxicity.PATTERNS for v in model.voters)
+    score = model.scorer()
+    assert score("some other idiot text, scum") > 0.7 > score("plain words only") and score(None) < 0.5
