@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from feedmill.llm.url_filter import LISTED_DOMAINS, LISTED_NAMES
+from feedmill.llm.url_filter import default_list
 
 _SPACE = r"[\x20\x09-\x0D]"
 
@@ -29,14 +29,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT (base_failed OR n_symbols > 0.1 * n_words + 2 OR word_chars < 2 * n_words OR word_chars > 16 * n_words OR 2 * n_dup_lines > n_lines OR 10 * n_repeat_words > 3 * n_words
        OR upper > 0.5 * letters OR bangs > 0.2 * n_words OR letters < 0.6 * word_chars OR open_ends > 0.3 * rows_) AS kept FROM f"""
 
-_LISTED = "|".join(LISTED_NAMES), "|".join(d.replace(".", r"\.") for d in LISTED_DOMAINS)
+_ENTRIES = ", ".join(f"('{u.partition('/')[0]}', '/{u.partition('/')[2]}')" for u in default_list())
 
 URLS = rf"""
-WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+WITH u AS (SELECT row_number() OVER () AS r, page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
   regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+c AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(host, '(?s)^.*@', ''), ':[0-9]*$', ''), '\.{{2,}}', '.', 'g'), '^\.|\.$', '', 'g') AS ch,
+  CASE WHEN host = '' THEN '' WHEN path = '' THEN '/' ELSE path END AS cp FROM u),
+l(h, p) AS (VALUES {_ENTRIES}),
+f AS (SELECT r, arg_max(h || p, (length(h || p), h || p)) AS entry FROM c JOIN l ON (ch = h OR ends_with(ch, '.' || h)) AND starts_with(cp, p) GROUP BY r),
 r AS (SELECT *, CASE WHEN regexp_matches(host, '(^|\.)example\.net$') AND starts_with(path, '/en/') THEN 'example.net/en/'
   WHEN regexp_matches(host, '(^|\.)example\.com$') AND starts_with(path, '/de/') THEN 'example.com/de/'
-  WHEN regexp_matches(host, '(^|\.)org$') AND starts_with(path, '/fr/') THEN 'org/fr/' WHEN regexp_matches(host, '(^|\.)net$') AND starts_with(path, '/') THEN 'net/' END AS rule,
-  CASE WHEN starts_with(path, '/') THEN nullif(regexp_extract(host, '(?:^|\.)((?:{_LISTED[0]})\.(?:{_LISTED[1]}))$', 1), '') || '/' END AS entry FROM u)
+  WHEN regexp_matches(host, '(^|\.)org$') AND starts_with(path, '/fr/') THEN 'org/fr/' WHEN regexp_matches(host, '(^|\.)net$') AND starts_with(path, '/') THEN 'net/' END AS rule FROM c LEFT JOIN f USING (r))
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL OR entry IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
   CASE WHEN rule IS NULL THEN entry END AS listed FROM r"""

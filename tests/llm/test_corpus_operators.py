@@ -338,7 +338,8 @@ def judge(url):
     rules = sorted((len(h + p), h + p, v) for h, p, v in url_filter.RULES if fits(h, p))
     if rules:
         return host, path, rules[-1][1], rules[-1][2]
-    listed = any(fits(f"{n}.{d}", "/") for n in url_filter.LISTED_NAMES for d in url_filter.LISTED_DOMAINS)
+    path_ = path or "/"  # the list is held against the canonical path
+    listed = any(host and (host == h or host.endswith("." + h)) and path_.startswith("/" + p) for h, _, p in (e.partition("/") for e in url_filter.default_list()))
     return host, path, None, "block" if listed else "allow"
 
 
