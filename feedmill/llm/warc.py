@@ -8,7 +8,8 @@ Reading splits files anywhere.  A task cuts its split at every version magic; th
 piece lengths tile the file, so a prefix sum over splits turns them into offsets.
 Each piece whose header parses is a candidate record with an offset and the offset
 of its successor.  Pointer jumping from offset 0 keeps what the chain reaches; a
-magic inside a payload is never reached and its piece rejoins its record.
+magic inside a payload is never reached and its piece rejoins its record.  Pieces are
+known by file and offset, which no other planning of a scan changes.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ END = "\r\n\r\n"
 MIN_REVISIT_BYTES = 100
 #: Above so many digests that repeat the join with them is left to a shuffle.
 BROADCAST_DIGESTS = 100_000
+BROADCAST_FILES = 100_000
+#: Bytes of a file within which parts and the records that cover them meet.
+STRETCH = 1 << 20
 
 
 def _digest(payload: Column) -> Column:
@@ -48,7 +52,9 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REV
     if firsts.count() <= BROADCAST_DIGESTS:
         rows = rows.join(F.broadcast(firsts), "digest", "left")
     else:
-        rows = rows.join(firsts, "digest", "left")
+        # the page's id spreads the copies of a digest; only ids and digests meet by digest
+        told = cut(rows.select("page_id", "digest").distinct().join(firsts, "digest").withColumnRenamed("digest", "_d").withColumnRenamed("page_id", "_p"))
+        rows = rows.join(told, (F.col("digest") == F.col("_d")) & F.col("page_id").eqNullSafe(F.col("_p")), "left").drop("_d", "_p")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     http = F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n")
     block = F.when(revisit, http).otherwise(F.concat(http, "html"))
@@ -67,13 +73,31 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REV
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The parts between magics with their place: (file, block, seq, value)."""
+    """The parts between magics: (file, block, seq, value).
+
+    ``seq`` orders the parts of one evaluation only; it and ``block`` depend on how the
+    scan was planned.  What is kept is the offset that :func:`_offsets` makes of them.
+    """
     return spark.read.option("lineSep", MAGIC).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"), F.col("value"),
     )
 
 
+def _offsets(rows: DataFrame) -> DataFrame:
+    """Adds ``at``, the offset of the magic before each part, to a written table of parts with their ``length``.
+
+    A split's parts in order tile it, and splits tile the file, however the scan was cut.
+    """
+    in_split = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    splits = rows.groupBy("file", "block").agg(F.sum("length").alias("total"))
+    before = splits.withColumn(
+        "base", F.coalesce(F.sum("total").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).select("file", "block", "base")
+    inner = F.coalesce(F.sum("length").over(in_split), F.lit(0))
+    return rows.withColumn("inner", inner).join(before, ["file", "block"]).withColumn("at", F.col("base") + F.col("inner") - len(MAGIC)).drop("base", "inner")
+
+
 def _field(name: str) -> Column:
     """A header field of the candidate, empty if absent."""
     return F.regexp_extract("head", rf"(?i)\r\n{name}:[ \t]*([^\r\n]*)", 1)
@@ -106,30 +130,20 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     got = _pieces(spark, path).withColumn("split", F.instr("value", END))
     head = F.when(F.col("split") > 0, F.substring_index("value", END, 1))
     got = got.withColumn("head", head).withColumn("length", said.cast("long") + len(MAGIC))
-    body = F.col("value").cast("binary")
-    block_at = F.octet_length("head") + len(END) + 1
     clen = F.expr("try_cast(nullif(regexp_extract(head, '(?i)\\r\\nContent-Length:[ \\t]*([0-9]{1,15})', 1), '') as bigint)")
     got = got.withColumn("clen", clen)
-    block = F.substring(body, block_at, F.least("clen", F.lit(2**31 - 1)).cast("int"))
     whole = said == F.octet_length("head") + len(END) + F.col("clen") + len(END)
-    got = got.withColumn("whole", F.coalesce(whole, F.lit(False))).withColumn("block_bytes", F.when(F.col("whole"), block))
-    payload = F.substring(F.col("block_bytes"), http_at(F.col("block_bytes")), 2**31 - 1)
-    rows = got.select(
+    got = got.withColumn("whole", F.coalesce(whole, F.lit(False)))
+    block = F.substring(F.col("value").cast("binary"), F.octet_length("head") + len(END) + 1, F.least("clen", F.lit(2**31 - 1)).cast("int"))
+    payload = payload_of(F.when(F.col("whole"), block))
+    # a part that is a whole record by itself needs no text any more, unless a longer record holds it
+    rows = cut(got.select(
         "file", "block", "seq", "length", "clen", "whole",
         F.when(F.col("clen").isNotNull() & F.col("value").rlike(r"\A[01]\r\n"), F.col("head")).alias("head"),
         F.when(F.col("whole"), F.sha2(payload, 256)).alias("sha"), F.when(F.col("whole"), F.octet_length(payload).cast("long")).alias("size"),
-    )
-    rows = cut(rows)
-    in_split = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    splits = rows.groupBy("file", "block").agg(F.sum("length").alias("total"))
-    before = splits.withColumn(
-        "base", F.coalesce(F.sum("total").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).select("file", "block", "base")
-    # a piece begins after its magic, so its record begins that much earlier
-    placed = rows.withColumn("inner", F.coalesce(F.sum("length").over(in_split), F.lit(0))).join(before, ["file", "block"]).withColumn(
-        "at", F.col("base") + F.col("inner") - len(MAGIC)
-    )
-    placed = cut(placed.drop("base", "inner"))
+        F.when(~F.col("whole"), F.col("value")).alias("value"),
+    ))
+    placed = cut(_offsets(rows.drop("value")))
     candidates = placed.filter("head is not null and at >= 0").withColumn(
         "next", F.col("at") + len(MAGIC) + F.octet_length("head") + len(END) + F.col("clen") + len(END)
     )
@@ -138,7 +152,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     whole_ones = records.filter("whole").select("file", "at", "head", "sha", "size")
     broken = cut(records.filter("not whole").select("file", "at", "next", "head", "clen"))
     if broken.count():
-        whole_ones = whole_ones.unionByName(_rejoined(spark, path, placed, broken))
+        whole_ones = whole_ones.unionByName(_rejoined(spark, path, rows, placed, broken))
     return whole_ones.select(
         "file", "at", "head", _field("WARC-Type").alias("record_type"),
         _field("WARC-Record-ID").alias("record_id"), _field("WARC-Refers-To").alias("refers_to"),
@@ -148,31 +162,53 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def http_at(block: Column) -> Column:
-    """Place of the payload in a block: after the HTTP header if there is one."""
-    start = F.decode(F.substring(block, 1, 8192), "ISO-8859-1")
-    return F.when(start.startswith("HTTP/") & (F.instr(start, END) > 0), F.instr(start, END) + len(END)).otherwise(1)
+def payload_of(block: Column) -> Column:
+    """The block's bytes after its HTTP header, of any length, if it has one."""
+    text = block.cast("string")  # bytes as they are: only ASCII is looked for
+    header = F.octet_length(F.substring_index(text, END, 1)) + len(END)
+    return F.when(text.startswith("HTTP/") & (F.instr(text, END) > 0), F.substring(block, header + 1, F.lit(2**31 - 1))).otherwise(block)
 
 
-def _rejoined(spark: SparkSession, path: str, placed: DataFrame, broken: DataFrame) -> DataFrame:
-    """Records whose payload holds a magic: their pieces are read again and put together."""
-    owner = Window.partitionBy("file").orderBy("at")
-    marks = placed.join(broken.select("file", "at", F.col("at").alias("own"), "next"), ["file", "at"], "left")
-    parts = (
-        marks.withColumn("own", F.last("own", True).over(owner)).withColumn("stop", F.last("next", True).over(owner))
-        .filter("own is not null and at < stop").select("file", "block", "seq", "own", "at")
-    )
-    texts = _pieces(spark, path).join(parts, ["file", "block", "seq"]).select("file", "own", "at", "value")
-    joined = texts.groupBy("file", "own").agg(F.sort_array(F.collect_list(F.struct("at", F.col("value").cast("binary").alias("v")))).alias("parts"))
-    whole = F.aggregate(
-        F.slice(F.col("parts.v"), F.lit(2), F.size("parts")), F.col("parts.v")[0], lambda acc, v: F.concat(acc, F.lit(MAGIC.encode()), v)
-    )
-    full = joined.select("file", F.col("own").alias("at"), whole.alias("whole")).join(broken.drop("next"), ["file", "at"]).select(
-        "file", "at", "head",
-        F.substring("whole", F.octet_length("head") + len(END) + 1, F.least("clen", F.lit(2**31 - 1)).cast("int")).alias("b"),
-    )
-    payload = F.substring(F.col("b"), http_at(F.col("b")), 2**31 - 1)
-    return full.select("file", "at", "head", F.sha2(payload, 256).alias("sha"), F.octet_length(payload).cast("long").alias("size"))
+def _inside(placed: DataFrame, broken: DataFrame) -> DataFrame:
+    """Parts that records of several parts cover: (file, at, length, own), with own the record's offset.
+
+    Reachable records never overlap; parts and records meet by stretches of STRETCH bytes.
+    """
+    covered = broken.select("file", F.col("at").alias("own"), "next", F.explode(F.sequence((F.col("at") / STRETCH).cast("long"), ((F.col("next") - 1) / STRETCH).cast("long"))).alias("stretch"))
+    parts = placed.select("file", "at", "length", "whole", F.floor(F.greatest("at", F.lit(0)) / STRETCH).cast("long").alias("stretch"))
+    return parts.join(covered, ["file", "stretch"]).filter((F.col("at") >= F.col("own")) & (F.col("at") < F.col("next"))).drop("stretch", "next")
+
+
+def _rejoined(spark: SparkSession, path: str, rows: DataFrame, placed: DataFrame, broken: DataFrame) -> DataFrame:
+    """Records whose payload holds a magic, put together from their parts.
+
+    Texts come from the table of the first scan.  Where a payload holds a whole record, its
+    file is scanned again; parts of either scan are known by file and offset alone, so it
+    does not matter how the second scan is cut.  A missing part is an error.
+    """
+    wanted = cut(_inside(placed, broken))
+    texts = _texts(rows.filter("value is not null"), placed)
+    nested = cut(wanted.filter("whole").select("file").distinct())
+    files = nested.count()
+    if files:
+        again = _pieces(spark, path).join(F.broadcast(nested) if files <= BROADCAST_FILES else nested, "file", "left_semi")
+        again = cut(again.withColumn("length", F.octet_length("value").cast("long") + len(MAGIC)))
+        texts = texts.join(nested, "file", "left_anti").unionByName(_texts(again, _offsets(again.drop("value"))))
+    parts = wanted.select("file", "at", "own").join(texts, ["file", "at"], "left")
+    joined = parts.groupBy("file", "own").agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("parts"))
+    whole = F.array_join(F.transform("parts", lambda p: p["value"]), MAGIC)
+    full = joined.select("file", F.col("own").alias("at"), whole.alias("whole")).join(broken, ["file", "at"])
+    there = F.octet_length("whole").cast("long") + len(MAGIC)
+    checked = F.when(there == F.col("next") - F.col("at"), F.col("whole")).otherwise(F.raise_error(F.concat(F.lit("parts of a record are missing in "), "file", F.lit(" at "), F.col("at").cast("string"))))
+    bytes_ = F.substring(checked.cast("binary"), F.octet_length("head") + len(END) + 1, F.least("clen", F.lit(2**31 - 1)).cast("int"))
+    full = full.select("file", "at", "head", payload_of(bytes_).alias("payload"))
+    return full.select("file", "at", "head", F.sha2("payload", 256).alias("sha"), F.octet_length("payload").cast("long").alias("size"))
+
+
+def _texts(rows: DataFrame, placed: DataFrame) -> DataFrame:
+    """(file, at, value) of parts and their offsets, both of one scan."""
+    part = ["file", "block", "seq"]
+    return rows.select(*part, "value").join(placed.select(*part, "at"), part).select("file", "at", "value")
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
