@@ -8,6 +8,10 @@ takes the block that a pseudorandom permutation of its block indexes (swap-or-no
 shuffle) gives to n modulo the number of blocks; slots and blocks meet in a join
 by (source, index).  DataFrame functions only; every order is explicit and every
 draw a hash, so reruns agree.
+
+Sums over shards, chunks or documents in order go in two steps, totals of stretches
+first, so that no window holds more than a stretch or the totals; which source a draw
+falls to is an equi-join by cell of the unit interval.
 """
 
 from __future__ import annotations
@@ -24,7 +28,12 @@ SHARE = 1.5
 MOST = 2
 BLOCK_WORDS = 32
 SHARD_SLOTS = 4096
-CHUNKS = 512
+#: Rows of an order that a window holds, and documents of a chunk of a source's stream.
+STRETCH = 4096
+CHUNK_ROWS = 8192
+#: Cells of the unit interval in which draws meet sources, and sources up to which their table goes to every task.
+CELLS = 4096
+BROADCAST_SOURCES = 50_000
 ROUNDS = 16
 SEED = 7
 
@@ -78,15 +87,33 @@ def permuted(index: Column, n: Column, key: Column) -> Column:
     return F.aggregate(keys, index, turn)
 
 
+def upto(df: DataFrame, keys: list[str], order: str, value: str, out: str, stretch: int = STRETCH) -> DataFrame:
+    """Adds ``out``: the sum of ``value`` over the rows of a key up to this one, by the whole number ``order``, of which a key has each once.
+
+    A window holds a stretch of a key, or one total for each of its stretches.
+    """
+    part = F.floor(F.col(order) / stretch).cast("long")
+    rows = df.withColumn("_part", part)
+    totals = rows.groupBy(*keys, "_part").agg(F.sum(value).alias("_total"))
+    before = totals.withColumn("_base", F.sum("_total").over(Window.partitionBy(*keys).orderBy("_part")) - F.col("_total")).drop("_total")
+    inside = F.sum(value).over(Window.partitionBy(*keys, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("_in", inside).join(before, [*keys, "_part"]).withColumn(out, F.col("_base") + F.col("_in")).drop("_part", "_base", "_in")
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, a table of ``rows`` rows, sent to every task only up to a size."""
+    return F.broadcast(df) if rows <= BROADCAST_SOURCES else df
+
+
 def block_quota(plan: DataFrame, block_words: int, most: int = MOST) -> DataFrame:
     """Blocks and slots of each source, and where its share of the unit interval begins and ends."""
-    everything, upto = Window.partitionBy(F.lit(1)), Window.orderBy("rank")
+    everything = Window.partitionBy(F.lit(1))
+    sized = plan.withColumn("blocks", F.ceil(F.col("source_size") / block_words).cast("long")).withColumn(
+        "quota", F.least(F.col("blocks") * most, F.round(F.col("target") * F.col("blocks") / F.greatest(F.col("source_size"), F.lit(1))).cast("long"))
+    )
     return (
-        plan.withColumn("blocks", F.ceil(F.col("source_size") / block_words).cast("long"))
-        .withColumn("quota", F.least(F.col("blocks") * most, F.round(F.col("target") * F.col("blocks") / F.greatest(F.col("source_size"), F.lit(1))).cast("long")))
-        .withColumn("total", F.sum("quota").over(everything))
-        .withColumn("high", F.sum("quota").over(upto) / F.greatest("total", F.lit(1)))
-        .withColumn("low", F.col("high") - F.col("quota") / F.greatest("total", F.lit(1)))
+        sized.withColumn("total", F.sum("quota").over(everything)).withColumn("end", F.sum("quota").over(Window.orderBy("rank")))
+        .withColumn("high", F.col("end") / F.greatest("total", F.lit(1))).withColumn("low", (F.col("end") - F.col("quota")) / F.greatest("total", F.lit(1))).drop("end")
     )
 
 
@@ -96,41 +123,42 @@ def draw_counts(quota: DataFrame, total: int, shard_slots: int = SHARD_SLOTS) ->
     A source's surplus is what its running count has beyond its quota; the surplus
     slots in order of (shard, rank) go to the sources still short, in order of rank.
     """
-    spark = quota.sparkSession
-    ends = [r["high"] for r in quota.orderBy("rank").select("high").toLocalIterator()]
-    bounds = F.array(*[F.lit(float(x)) for x in ends])
+    spark, sources = quota.sparkSession, quota.count()
+    cells = quota.filter("quota > 0").select(
+        "rank", "low", "high", F.explode(F.sequence(F.floor(F.col("low") * CELLS).cast("int"), F.least(F.floor(F.col("high") * CELLS), F.lit(CELLS - 1)).cast("int"))).alias("cell")
+    )
+    draws = spark.range(total).select((F.col("id") / shard_slots).cast("long").alias("shard"), _uniform(F.col("id")).alias("u")).withColumn("cell", F.floor(F.col("u") * CELLS).cast("int"))
+    # `high` of one source is `low` of the next, the same number, so each draw falls to one source
     drawn = (
-        spark.range(total).select((F.col("id") / shard_slots).cast("long").alias("shard"), _uniform(F.col("id")).alias("u"))
-        .select("shard", F.least(F.size(F.filter(bounds, lambda x: x <= F.col("u"))), F.lit(len(ends) - 1)).alias("rank"))
+        draws.join(few(cells, sources), "cell").filter((F.col("u") >= F.col("low")) & (F.col("u") < F.col("high")))
         .groupBy("shard", "rank").agg(F.count("*").alias("n"))
     )
-    run = Window.partitionBy("rank").orderBy("shard")
-    held = drawn.join(F.broadcast(quota.select("rank", "quota")), "rank").withColumn("upto", F.sum("n").over(run))
+    held = upto(cut(drawn), ["rank"], "shard", "n", "upto").join(few(quota.select("rank", "quota"), sources), "rank")
     kept = cut(
         held.withColumn("keep", F.greatest(F.lit(0), F.least("n", F.col("quota") - F.col("upto") + F.col("n"))).cast("long"))
         .withColumn("over", F.col("n") - F.col("keep"))
     )
-    short = quota.join(F.broadcast(kept.groupBy("rank").agg(F.sum("keep").alias("got"))), "rank", "left").withColumn(
+    short = quota.join(kept.groupBy("rank").agg(F.sum("keep").alias("got")), "rank", "left").withColumn(
         "lack", F.col("quota") - F.coalesce("got", F.lit(0))
-    ).withColumn("lack_end", F.sum("lack").over(Window.orderBy("rank"))).filter("lack > 0").select("rank", "lack", "lack_end")
-    spare = kept.filter("over > 0").groupBy("shard").agg(F.sum("over").alias("over")).withColumn(
-        "over_end", F.sum("over").over(Window.orderBy("shard"))
+    ).withColumn("lack_end", F.sum("lack").over(Window.orderBy("rank"))).filter("lack > 0").select(F.col("rank").alias("to"), "lack", "lack_end")
+    spare = kept.filter("over > 0").groupBy("shard").agg(F.sum("over").alias("over"), F.lit(0).alias("line"))
+    spare = upto(spare, ["line"], "shard", "over", "over_end").select("shard", "over", "over_end")
+    # both sides are runs of one line of slots: runs that overlap, met by stretches of the line, say who gets what
+    run = lambda df, size, end: df.withColumn(
+        "cell", F.explode(F.sequence(F.floor((F.col(end) - F.col(size)) / STRETCH).cast("long"), F.floor((F.col(end) - 1) / STRETCH).cast("long")))
     )
-    # both sides are runs of one line of slots: overlaps of the runs, a source at a time, say who gets what
-    moved = spare.join(
-        F.broadcast(short.withColumnRenamed("rank", "to")),
-        (F.col("over_end") > F.col("lack_end") - F.col("lack")) & (F.col("over_end") - F.col("over") < F.col("lack_end")),
-    ).select(
-        "shard", F.col("to").alias("rank"),
-        (F.least("over_end", "lack_end") - F.greatest(F.col("over_end") - F.col("over"), F.col("lack_end") - F.col("lack"))).cast("long").alias("n"),
+    low, high = F.greatest(F.col("over_end") - F.col("over"), F.col("lack_end") - F.col("lack")), F.least("over_end", "lack_end")
+    moved = (
+        run(spare, "over", "over_end").join(run(short, "lack", "lack_end"), "cell").filter(low < high)
+        .filter(F.col("cell") == F.floor(low / STRETCH))  # runs that share several stretches meet once
+        .select("shard", F.col("to").alias("rank"), (high - low).cast("long").alias("n"))
     )
     return kept.select("shard", "rank", F.col("keep").alias("n")).unionByName(moved).groupBy("shard", "rank").agg(F.sum("n").alias("n")).filter("n > 0")
 
 
 def slots(quota: DataFrame, counts: DataFrame) -> DataFrame:
     """(shard, slot, rank, block, pass): the block that each output slot takes."""
-    run = Window.partitionBy("rank").orderBy("shard")
-    numbered = counts.withColumn("first", F.sum("n").over(run) - F.col("n")).join(F.broadcast(quota.select("rank", "blocks")), "rank")
+    numbered = upto(cut(counts), ["rank"], "shard", "n", "upto").withColumn("first", F.col("upto") - F.col("n")).join(few(quota.select("rank", "blocks"), quota.count()), "rank")
     # a few count rows make thousands of slots each: by number, or they would be gathered in one task
     parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     each = numbered.repartition(parts, "shard", "rank").select(
@@ -142,16 +170,29 @@ def slots(quota: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def stream_places(sizes: DataFrame, chunks: int = CHUNKS) -> DataFrame:
+def numbered_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, size, k): a row for each document; k numbers those equal in the other three, from 1.
+
+    Rows that nothing tells apart are counted and dealt out again, which no window has to hold.
+    """
+    counted = docs.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n"))
+    step = 1 << 16
+    runs = counted.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / step))))
+    return runs.select("doc_id", "source", "size", F.explode(F.sequence(F.col("at") * step + 1, F.least((F.col("at") + 1) * step, "n"))).alias("k"))
+
+
+def stream_places(sizes: DataFrame, rows: int) -> DataFrame:
     """Adds ``start``: where a document's words begin in its source's stream.
 
-    The stream runs by (hash chunk, doc_id, row); chunk totals are summed first, so no
-    window holds more than a chunk of a source.
+    The stream runs by (hash chunk, doc_id, size, k); the number of chunks follows the
+    number of documents and chunk totals are summed first, so a window holds about
+    ``CHUNK_ROWS`` documents of a source.
     """
-    row = sizes.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "size"), F.lit(chunks)).cast("int"))
+    chunks = max(64, -(-rows // CHUNK_ROWS))
+    row = sizes.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "size", "k"), F.lit(chunks)).cast("long"))
     totals = row.groupBy("rank", "chunk").agg(F.sum("size").alias("chunk_size"))
-    base = totals.withColumn("base", F.sum("chunk_size").over(Window.partitionBy("rank").orderBy("chunk")) - F.col("chunk_size"))
-    inside = Window.partitionBy("rank", "chunk").orderBy("doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
+    base = upto(totals, ["rank"], "chunk", "chunk_size", "end").withColumn("base", F.col("end") - F.col("chunk_size"))
+    inside = Window.partitionBy("rank", "chunk").orderBy("doc_id", "size", "k").rowsBetween(Window.unboundedPreceding, 0)
     return (
         row.withColumn("upto", F.sum("size").over(inside)).join(base.select("rank", "chunk", "base"), ["rank", "chunk"])
         .withColumn("start", F.col("base") + F.col("upto") - F.col("size")).drop("upto", "base", "chunk")
@@ -162,21 +203,19 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, weights: tuple[int, ...
         most: int = MOST) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text, source) -> documents with their places, and the pieces the mix takes.
 
-    Documents: row, doc_id, source, rank, size, source_size, target, start.  Pieces: row,
+    Documents: row, doc_id, source, k, rank, size, source_size, target, start.  Pieces: row,
     shard, slot, pass, from, words (a document's words in one taken block).  Null text has
     size 0; null is a source of its own, last in order; repeated rows are documents of their
-    own; wordless documents are in no piece; an empty table gives two empty frames.
+    own, numbered by k; wordless documents are in no piece; an empty table gives two empty frames.
     """
-    # the row number only tells apart rows that are equal in id, size and source
-    sized = cut(
+    sized = cut(numbered_rows(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("size"))
-        .withColumn("row", F.monotonically_increasing_id())
-    )
+    ).withColumn("row", F.monotonically_increasing_id()))
     plan = cut(targets(sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size")), weights, share, most))
     quota = cut(block_quota(plan, block_words, most))
     total = quota.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]
-    named = sized.withColumnRenamed("source", "_s").join(F.broadcast(plan), F.col("_s").eqNullSafe(F.col("source"))).drop("_s")
-    placed = cut(stream_places(named))
+    named = sized.withColumnRenamed("source", "_s").join(few(plan, plan.count()), F.col("_s").eqNullSafe(F.col("source"))).drop("_s")
+    placed = cut(stream_places(named, sized.count()))
     taken = slots(quota, draw_counts(quota, total)) if total else None
     blocks = placed.filter("size > 0").select(
         "row", "rank", "start", "size",
@@ -209,13 +248,11 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     """
     placed, pieces = mix(docs, block_words)
     runs = pieces.groupBy("row", F.col("pass").alias("__pass")).agg(F.sort_array(F.collect_list(F.struct("from", "words"))).alias("__runs"))
-    chosen = runs.join(placed.select("row", F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.col("source").alias("__src")), "row")
+    chosen = runs.join(placed.select("row", F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.col("source").alias("__src"), F.col("k").alias("__k")), "row")
     numbered = docs.withColumn("__n", word_count(F.col("text").cast("string")))
     same = Window.partitionBy("doc_id", "source", "__n").orderBy(F.xxhash64("text"))
-    key = ["doc_id", "source", "size"]
-    order = placed.withColumn("__k", F.row_number().over(Window.partitionBy(*key).orderBy("row"))).select("row", "__k")
-    left = numbered.withColumn("__k", F.row_number().over(same))
-    right = chosen.join(order, "row").drop("row")
+    left = numbered.withColumn("__k", F.row_number().over(same).cast("long"))
+    right = chosen.drop("row")
     on = left.doc_id.eqNullSafe(right["__id"]) & left.source.eqNullSafe(right["__src"]) & (left["__n"] == right["__size"]) & (left["__k"] == right["__k"])
     joined = left.join(right, on)
     words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD}{SPACE[:-1]}*)"), 1)
