@@ -1,7 +1,7 @@
 """SpotSigs: signatures from chains of content words that follow common words.
 
-A spot is an anchor (a common word) and the next ``CHAIN`` content words, with the
-common words in between skipped.  A text's signature set is the set of its hashed
+A spot is an anchor (a common word) and the next ``CHAIN`` content words, with all
+common words in between skipped, however many.  A text's signature set is the set of its hashed
 spots; texts without a spot have the hash of their words, texts without a word the
 empty set.  Comparison is Jaccard on these sets; the near-duplicate join splits sets
 by length, indexes only a prefix of each set's rarest spots, and prunes by length
@@ -25,43 +25,59 @@ ANCHORS = (
     "con del el es los no por se su una y"
 ).split()
 CHAIN = 2
-#: A spot skips at most so many common words before each content word; a longer run of them has no spot at its start.
-MOST_SKIPPED = 16
+#: Letters of anchors move into this range of private characters, so that a run of anchors is a run of one character class.
+PRIVATE = 0xE000
+RUN = f"[{chr(PRIVATE)}-{chr(PRIVATE + 0x3FF)}]"
+BREAK = chr(PRIVATE)  # ends an anchor
 
 
-def _anchor_pattern() -> str:
-    """The anchors by their first letter: a word is tried against few of them."""
-    by_letter: dict[str, list[str]] = {}
-    for a in sorted(set(ANCHORS)):
-        by_letter.setdefault(a[0], []).append(a[1:])
-    return "(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by_letter.items()) + ")"
+def _words(text: Column) -> Column:
+    """Lower-case words with a space between."""
+    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
-#: Stands before an anchor; no word holds it.
-MARK = "\x01"
+def _coded(words: Column) -> Column:
+    """Words in one text: a content word and a space, an anchor in private characters and BREAK."""
+    letters = "".join(sorted({c for a in ANCHORS for c in a}))
+    private = "".join(chr(PRIVATE + 1 + i) for i in range(len(letters)))
+    each = F.transform(
+        F.split(words, " "), lambda w: F.when(w.isin(*ANCHORS), F.concat(F.translate(w, letters, private), F.lit(BREAK))).otherwise(F.concat(w, F.lit(" ")))
+    )
+    return F.array_join(each, "")
+
+
+def _chains(coded: Column) -> Column:
+    """Each run of anchors with the content words of its chain, as text; a chain skips anchors, however many.
+
+    A run is read where it begins and as the gap of at most CHAIN - 1 earlier chains, so the
+    work is in proportion to the text.
+    """
+    return F.regexp_extract_all(coded, F.lit(f"(?<!{RUN})(?=({RUN}++(?:[^ ]++ ){{{CHAIN}}}))"), 1)
+
+
+def _spots(chains: Column) -> Column:
+    """Array of arrays: for each run of anchors its different anchors, each hashed with the chain behind the run."""
 
+    def of(chain: Column) -> Column:
+        run = F.regexp_extract(chain, f"^{RUN}++", 0)
+        content = F.regexp_replace(chain, f"{RUN}++", "")
+        anchors = F.filter(F.array_distinct(F.split(run, BREAK)), lambda a: a != "")
+        return F.transform(anchors, lambda a: F.hash(a, content))
 
-def _spots(text: Column) -> Column:
-    """Array of the spots as text, anchors marked, repeats included."""
-    words = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    marked = F.regexp_replace(words, rf" (?={_anchor_pattern()} )", f" {MARK}")
-    anchor = f"{MARK}[^ ]++ "
-    return F.regexp_extract_all(marked, F.lit(f"(?=({anchor}(?:(?:{anchor}){{0,{MOST_SKIPPED}}}+[^ ]++ ){{{CHAIN}}}))"), 1)
+    return F.transform(chains, of)
 
 
 def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds sorted distinct 32-bit hashes of a text's spots; null text is empty.
 
-    Two steps, as a column read twice is not put in place of its name: spots are sought once.
+    Steps are columns of their own, as a column read twice is not put in place of its name:
+    words and chains are sought once.
     """
     text = F.coalesce(F.col(text), F.lit(""))
-    spots = _spots(text)
-    # the anchor that opens a spot stays, those inside it go
-    hashed = F.transform(spots, lambda s: F.hash(F.regexp_replace(s, f"(?<= )(?:{MARK}[^ ]++ )+", "")))
-    words = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
+    words = _words(text)
     bare = F.when(F.length(F.trim(text)) == 0, F.array().cast("array<int>")).otherwise(F.array(F.hash(F.when(words != "", words).otherwise(text))))
-    found = df.withColumn("_spots", F.sort_array(F.array_distinct(hashed)))
-    return found.withColumn(out, F.when(F.size("_spots") > 0, F.col("_spots")).otherwise(bare)).drop("_spots")
+    found = df.withColumn("_chains", _chains(_coded(words))).withColumn("_spots", F.sort_array(F.array_distinct(F.flatten(_spots(F.col("_chains"))))))
+    return found.withColumn(out, F.when(F.size("_spots") > 0, F.col("_spots")).otherwise(bare)).drop("_chains", "_spots")
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -97,6 +113,13 @@ def next_ids(ids: DataFrame) -> DataFrame:
     )
 
 
+def _heads(met: DataFrame, single: bool) -> DataFrame:
+    """(text, sig, for_id, need) -> (doc_id, head, next_sig): the beginning that a document takes over, of the text that sorts first if there are several."""
+    if not single:
+        met = met.groupBy("for_id").agg(F.first("need").alias("need"), F.min(F.struct("text", "sig")).alias("m")).select("for_id", "need", "m.text", "m.sig")
+    return met.select(F.col("for_id").alias("doc_id"), F.expr("substring(text, 1, need)").alias("head"), F.col("sig").alias("next_sig"))
+
+
 def edited_likeness(docs: DataFrame) -> DataFrame:
     """(doc_id, text) -> doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
@@ -110,23 +133,25 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     ids = base.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 2)).cast("int").alias("need"), F.count("*").alias("rows"))
     ids = cut(ids)
     single = ids.agg(F.coalesce(F.max("rows"), F.lit(0))).first()[0] <= 1
-    plan = next_ids(ids.select("doc_id", "need")).select(F.col("doc_id").alias("for_id"), "need", "next_id")
+    plan = cut(next_ids(ids.select("doc_id", "need")).select(F.col("doc_id").alias("for_id"), "need", "next_id"))
     signed = with_signature(base, "text", "sig")
-    # the same columns for both joins, so that the texts are dealt out once and read twice
-    onto = signed.select(F.coalesce("doc_id", F.lit(0)).alias("k"), F.col("doc_id").isNull().alias("k0"), "text", "sig")
-    heads = onto.join(
-        plan.select(F.coalesce("next_id", F.lit(0)).alias("k"), F.col("next_id").isNull().alias("k0"), "for_id", "need"), ["k", "k0"]
-    )
-    if not single:
-        least = Window.partitionBy("for_id").orderBy("text")
-        heads = heads.withColumn("r", F.row_number().over(least)).filter("r = 1")
-    heads = heads.select(
-        F.coalesce("for_id", F.lit(0)).alias("k"), F.col("for_id").isNull().alias("k0"),
-        F.expr("substring(text, 1, need)").alias("head"), F.col("sig").alias("next_sig"),
-    )
-    n = F.length("text")
-    both = onto.join(heads, ["k", "k0"]).select(
-        F.when(~F.col("k0"), F.col("k")).alias("doc_id"), n.cast("long").alias("n_chars"), "sig", "next_sig",
+    # the same columns for both joins, so that the texts are dealt out once and read twice; rows without an id are dealt by their text
+    onto = signed.filter("doc_id is not null").select("doc_id", "text", "sig")
+    heads = onto.join(plan.filter("for_id is not null and next_id is not null").select(F.col("next_id").alias("doc_id"), "for_id", "need"), "doc_id")
+    heads = _heads(heads, single)
+    if ids.filter("doc_id is null").count():
+        least, last = base.filter("doc_id is null").agg(F.min("text").alias("text")), plan.filter("next_id is null and for_id is not null").select("for_id", "need")
+        heads = heads.unionByName(_heads(with_signature(least, "text", "sig").join(last, F.lit(True)), True))
+        after = plan.filter("for_id is null").select("next_id", "need").first()
+        mine = onto.filter(F.col("doc_id") == after["next_id"]) if after["next_id"] is not None else with_signature(least, "text", "sig").select(F.lit(None).cast("long").alias("doc_id"), "text", "sig")
+        first = _heads(mine.agg(F.min(F.struct("text", "sig")).alias("m")).select("m.text", "m.sig", F.lit(0).cast("long").alias("for_id"), F.lit(after["need"]).alias("need")), True)
+        unnamed = signed.filter("doc_id is null").select("doc_id", "text", "sig").join(F.broadcast(first.drop("doc_id")), F.lit(True))
+    else:
+        unnamed = None
+    both = onto.join(heads, "doc_id")
+    both = both if unnamed is None else both.unionByName(unnamed)
+    both = both.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), "sig", "next_sig",
         F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"), F.expr("substring(head, 1, cast(floor(length(text) / 2) as int))")).alias("edited"),
     )
     marked = with_signature(both.withColumn("edited_sha256", F.sha2("edited", 256)), "edited", "edited_sig")

@@ -97,27 +97,29 @@ def spot_set(text):
     for i, w in enumerate(words):
         if w not in stop:
             continue
-        chain, j, skipped = [w], i + 1, 0
-        while j < len(words) and len(chain) <= spotsigs.CHAIN:
-            if words[j] in stop and skipped < spotsigs.MOST_SKIPPED:
-                skipped += 1
-            else:
-                chain.append(words[j])
-                skipped = 0
-            j += 1
-        if len(chain) == spotsigs.CHAIN + 1:
-            out.add(tuple(chain))
+        content = [x for x in words[i + 1 :] if x not in stop][: spotsigs.CHAIN]
+        if len(content) == spotsigs.CHAIN:
+            out.add((w, *content))
     return out
 
 
 def test_spots(spark):
-    texts = ["The cat of the mat and the dog. THE!! cat&&& of the", "of a cat in hat", "none here", "", None]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for r in df.select("doc_id", spotsigs._spots(F.col("text")).alias("s")).collect():
-        assert len(set(r.s or [])) >= len(spot_set(texts[r.doc_id])) > -1
-        parts = [s.replace(spotsigs.MARK, "").split() for s in r.s or []]
-        got = {(p[0], *[w for w in p[1:] if w not in spotsigs.ANCHORS]) for p in parts}
-        assert got == spot_set(texts[r.doc_id])
+    run = " ".join(["the", "of", "and"] * 7)  # longer than any fixed number of skipped words
+    texts = [
+        "The cat of the mat and the dog. THE!! cat&&& of the", "of a cat in hat", "none here", "", None, "the " * 18 + "cat dog", "the " * 40, f"x {run} cat {run} dog {run}", f"{run} É{run}é ünd {run} der 9 a b",
+        "the " * 40 + "cat " + "of " * 17 + "mat",
+    ]
+    sets = [spot_set(t) for t in texts]
+    alone = sorted(set().union(*sets))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(100 + i, " ".join(x)) for i, x in enumerate(alone)], "doc_id long, text string")
+    sigs = {r.doc_id: r.s for r in spotsigs.with_signature(df, "text", "s").select("doc_id", "s").collect()}
+    one = {x: sigs[100 + i] for i, x in enumerate(alone)}
+    assert all(len(h) == 1 for h in one.values()) and len({h[0] for h in one.values()}) == len(alone)
+    for i, want in enumerate(sets):
+        if want:
+            assert sigs[i] == sorted(one[x][0] for x in want), texts[i]
+        else:
+            assert len(sigs[i]) == bool((texts[i] or "").strip())
 
 
 def test_edited_likeness(spark):
@@ -143,9 +145,17 @@ def test_edited_likeness(spark):
 
 def test_likeness_of_repeated_and_null_ids(spark):
     df = spark.createDataFrame([(1, "of a b"), (1, "of a b"), (2, "of c d"), (2, "of b d"), (None, "of z z")], "doc_id long, text string")
-    got = spotsigs.edited_likeness(df).collect()
-    assert len(got) == 5
-    assert {r.edited_sha256 for r in got if r.doc_id == 1} == {hashlib.sha256(b"of of b"[:4] + b"").hexdigest()} or len({r.edited_sha256 for r in got if r.doc_id == 1}) == 1
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    got = sorted((repr(r.doc_id), r.edited_sha256) for r in spotsigs.edited_likeness(df).collect())
+    # after 1 comes 2 with the text that sorts first, after 2 the row without an id, after it 1
+    want = [("1", digest("of " + "of ")), ("1", digest("of " + "of ")), ("2", digest("of " + "of ")), ("2", digest("of " + "of ")), ("None", digest("of " + "of "))]
+    assert got == sorted(want)
+    odd = spark.createDataFrame([(1, "abcdef"), (1, "abcdxx"), (2, "zz"), (2, "yyyyyyy"), (None, "QRSTUV"), (None, "MNOP"), (3, None)], "doc_id long, text string")
+    got = sorted((repr(r.doc_id), r.n_chars, r.edited_sha256) for r in spotsigs.edited_likeness(odd).collect())
+    want = [("1", 6, "abcyyy"), ("1", 6, "abcyyy"), ("2", 2, "z"), ("2", 7, "yyyy"), ("3", 0, ""), ("None", 6, "QRSabc"), ("None", 4, "MNab")]
+    assert got == sorted((i, n, digest(t)) for i, n, t in want)
+    alone = spark.createDataFrame([(None, "abcd"), (None, "wxyz")], "doc_id long, text string")
+    assert {r.edited_sha256 for r in spotsigs.edited_likeness(alone).collect()} == {digest("abab"), digest("wxab")}
     assert spotsigs.edited_likeness(df.limit(0)).count() == 0
 
 
