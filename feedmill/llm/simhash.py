@@ -9,6 +9,10 @@ rows over each choice of that many segments yields every pair that can link.
 Inside such a bucket pairs whose whole-reference distances differ by more than
 ``max_bits`` in any coordinate are discarded, and the rest is verified by xor.
 A bucket emits a spanning forest of its links, never all of its pairs.
+
+A bucket of more than ``HOT`` fingerprints is not held: its rows go on, dealt out again
+by rows of finer tables, in which close pairs agree on more segments.  Only what the
+finest table still holds together is compared within a task.
 """
 
 from __future__ import annotations
@@ -27,6 +31,10 @@ from feedmill.runtime import cut
 
 PIVOTS = 12
 SMALL = 48
+#: Fingerprints of a bucket that a task holds, unless the table is the finest.
+HOT = 1 << 13
+#: Segments that the tables have beyond ``max_bits``, coarse to fine: pairs agree on so many.
+LEVELS = (3, 5, 8)
 CHUNK = 1 << 15
 
 
@@ -152,41 +160,86 @@ def _links_of_sorted(keys: np.ndarray, fps: np.ndarray, max_bits: int) -> pa.Rec
     return pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["u", "v"])
 
 
-def fingerprint_links(fps: DataFrame, max_bits: int = 4, segments: int | None = None) -> DataFrame:
-    """Distinct fingerprints (fp) -> links (u, v) that span every group of fingerprints within ``max_bits``."""
-    segments = segments or max_bits + 3
-    agree = segments - max_bits
-    if agree < 1 or segments > 16:
-        raise ValueError("segments must exceed max_bits and be at most 16")
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                k, f = table_keys(b.column(0).to_numpy(zero_copy_only=False), segments, agree)
-                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(f)], ["key", "fp"])
+def _links_of_level(rows: DataFrame, max_bits: int, agree: int, last: bool) -> DataFrame:
+    """(key, fp) -> (u, v, hot): links (u, v) of each bucket; of a hot one its rows as (key, fp) with ``hot`` set."""
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []  # rows of the key that may go on, eight bytes a fingerprint
+        size, passing = 0, None
+
+        def sent(k: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(k), pa.array(f), pa.array(np.ones(len(k), bool))], ["u", "v", "hot"])
+
+        def found(k: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
+            if not last:
+                cuts = np.flatnonzero(np.diff(k)) + 1
+                lengths = np.diff(np.concatenate(([0], cuts, [len(k)])))
+                big = np.repeat(lengths, lengths) > HOT
+                if big.any():
+                    yield sent(k[big], f[big])
+                    k, f = k[~big], f[~big]
+            if len(k):
+                b = _links_of_sorted(k, f, max_bits)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.zeros(b.num_rows, bool))], ["u", "v", "hot"])
+
         for b in batches:
             if not b.num_rows:
                 continue
             k, f = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            if k[0] == k[-1] and held and held[0][0][0] == k[0]:
+            if passing is not None:
+                stop = int(np.searchsorted(k, passing, side="right"))
+                if stop:
+                    yield sent(k[:stop], f[:stop])
+                    k, f = k[stop:], f[stop:]
+                if not len(k):
+                    continue
+                passing = None
+            if held and k[0] == k[-1] and held[0][0][0] == k[0]:
                 held.append((k, f))
+                size += len(k)
+                if size > HOT and not last:
+                    for x, y in held:
+                        yield sent(x, y)
+                    held, size, passing = [], 0, k[0]
                 continue
             k, f = np.concatenate([*(x for x, _ in held), k]), np.concatenate([*(x for _, x in held), f])
-            last = int(np.searchsorted(k, k[-1]))
-            if last:
-                yield _links_of_sorted(k[:last], f[:last], max_bits)
-            held = [(k[last:], f[last:])]
+            at = int(np.searchsorted(k, k[-1]))
+            if at:
+                yield from found(k[:at], f[:at])
+            held, size = [(k[at:], f[at:])], len(k) - at
+            if size > HOT and not last:
+                yield sent(*held[0])
+                held, size, passing = [], 0, k[-1]
         if held:
-            yield _links_of_sorted(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]), max_bits)
+            yield from found(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
 
-    return (
-        fps.select("fp").mapInArrow(keyed, "key long, fp long")
-        .repartition("key").sortWithinPartitions("key")
-        .mapInArrow(linked, "u long, v long").distinct()
-    )
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(linked, "u long, v long, hot boolean")
+
+
+def fingerprint_links(fps: DataFrame, max_bits: int = 4, levels: tuple[int, ...] = LEVELS) -> DataFrame:
+    """Distinct fingerprints (fp) -> links (u, v) that span every group of fingerprints within ``max_bits``."""
+    if max_bits + max(levels) > 16:
+        raise ValueError("a table has at most 16 segments")
+    rows, out = fps.select("fp"), None
+    for n, agree in enumerate(levels):
+
+        def keyed(batches: Iterator[pa.RecordBatch], agree=agree) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    k, f = table_keys(b.column("fp").to_numpy(zero_copy_only=False), max_bits + agree, agree)
+                    if b.num_columns > 1:  # within the bucket that the rows come from
+                        old = np.tile(b.column("key").to_numpy(zero_copy_only=False), len(k) // b.num_rows).view(np.uint64)
+                        k = (k.view(np.uint64) ^ (old * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(f)], ["key", "fp"])
+
+        got = _links_of_level(rows.mapInArrow(keyed, "key long, fp long"), max_bits, agree, n + 1 == len(levels))
+        got = cut(got)
+        links = got.filter("not hot").select("u", "v")
+        out = links if out is None else out.unionByName(links)
+        rows = got.filter("hot").select(F.col("u").alias("key"), F.col("v").alias("fp"))
+        if n + 1 == len(levels) or not rows.take(1):
+            break
+    return out.distinct()
 
 
 def simhash_groups(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4) -> DataFrame:
