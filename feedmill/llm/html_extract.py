@@ -4,10 +4,13 @@ Each text node belongs to the path of block elements from the root to it.  Per
 path the text length and the punctuation count are aggregated and divided by the
 number of its nodes; both ratios are smoothed over the nodes in page order with a
 Gaussian window and fused by their product; paths whose fused ratio reaches a
-share of the standard deviation hold content.  The result is every block of the
-article or main that holds most of that content, or else of the smallest element
-that holds all of it with the headings right before it, without the subtrees that
-announce themselves as something else (menus, footers, comments, adverts...).
+share of the standard deviation hold content.
+
+The nodes of content paths are selected.  Two weaker signals complete them.  Names of
+class, id and role may announce a subtree as a menu, comments, an advert and the like:
+it goes, unless it holds most of the selected text.  And short blocks that belong to
+the text by their place (headings, captions, list items between paragraphs, what else
+an article or main holds) stay, unless they are mostly links.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html import unescape
 
 import pyarrow as pa
@@ -41,6 +45,14 @@ DROP = frozenset(
     "head script style title textarea iframe noembed noframes noscript template nav footer aside form button select "
     "option svg math canvas audio video object dialog menu datalist fieldset".split()
 )
+#: Elements that may wrap a whole page although they are in DROP.
+WRAPPERS = frozenset("form fieldset".split())
+#: Share of the selected text that a subtree with a furniture name must hold to stay, and one that is named after readers' comments.
+LEAST_SHARE, LEAST_COMMENT_SHARE = 0.6, 0.95
+#: An article or main beside a subtree with a furniture name, of this share of its text, says that the name is right.
+RIVAL = 0.25
+#: Share of linked characters from which a block is mostly links and not prose.
+LINKED = 0.5
 #: Words of class, id and role that announce something besides the article.
 FURNITURE = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion "
@@ -52,6 +64,7 @@ FURNITURE = frozenset(
     "comment comments commentlist respond reply replies disqus discussion "
     "skip skiplink hidden invisible sr dialog disclaimer adbox adslot adunit adwrap adwrapper adcontainer adspace".split()
 )
+COMMENTS = ("comment", "respond", "repl", "disqus", "discussion")
 #: Beginnings of such words.
 FURNITURE_STARTS = ("advert", "breadcrumb", "comment", "cookie", "navbar", "newsletter", "notice", "popup", "promo", "sidebar", "sponsor")
 #: An element named header is the page's unless it is named after the text as well.
@@ -59,6 +72,8 @@ OWN_HEADER = frozenset("article post entry content story title".split())
 #: What may carry a furniture word and is the page itself.
 NEVER_FURNITURE = frozenset("html body article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Short blocks of these elements begin or end a text beside its paragraphs.
+ENDS = frozenset("p blockquote pre li dd figcaption".split())
 #: An open p ends where one of these begins.
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
@@ -66,14 +81,16 @@ CLOSES_P = frozenset(
 )
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("ul ol dl table article section main body html div nav aside footer header form td th blockquote".split())
+#: A line of rights at the end of a page.
+NOTICE = re.compile(r"\W*(?:©|\(c\)|copyright\b|all rights reserved)", re.I)
 PUNCT = re.compile(r"[.,;:!?。，；：！？、…\"'()«»“”¿¡-]")
 
 
-def _furniture(tag: str, attrs: str) -> tuple[bool, str]:
-    """Does the element announce furniture, and its signature in a path."""
+def _furniture(tag: str, attrs: str) -> tuple[bool, float, str]:
+    """Is the element hidden; the share of selected text that its names ask of it, 0 if none do; its signature in a path."""
     if not attrs or "=" not in attrs and "hidden" not in attrs.lower():
-        return False, tag
-    names, sign, hidden = set(), tag, False
+        return False, 0.0, tag
+    share, sign, hidden = 0.0, tag, False
     for key, value in NAMES.findall(attrs):
         key, value = key.lower(), unescape(value.strip("\"'"))
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
@@ -82,43 +99,61 @@ def _furniture(tag: str, attrs: str) -> tuple[bool, str]:
             flat = value.replace(" ", "").lower()
             hidden |= "display:none" in flat or "visibility:hidden" in flat
         elif value:
-            names.update(WORDS.findall(CAMEL.sub(" ", value).lower()))
+            for name in value.split():
+                words = WORDS.findall(CAMEL.sub(" ", name).lower())
+                if any(w.startswith(COMMENTS) for w in words):
+                    share = LEAST_COMMENT_SHARE
+                elif any(w in FURNITURE or w.startswith(FURNITURE_STARTS) for w in words) or "header" in words and not OWN_HEADER.intersection(words):
+                    share = max(share, LEAST_SHARE)
             if key == "class":
                 sign = f"{tag}.{value}"
-    named = bool(names & FURNITURE) or any(n.startswith(FURNITURE_STARTS) for n in names) or "header" in names and not names & OWN_HEADER
-    return hidden or named and tag not in NEVER_FURNITURE, sign
+    return hidden, 0.0 if tag in NEVER_FURNITURE else share, sign
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "path", "dropped", "depth", "block")
+    __slots__ = ("tag", "parent", "path", "dropped", "depth", "asks", "mass", "size")
 
-    def __init__(self, tag: str, parent: _Node | None, sign: str, dropped: bool) -> None:
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: _Node | None, sign: str, dropped: bool, asks: float = 0.0) -> None:
+        self.tag, self.parent, self.dropped, self.asks, self.mass, self.size = tag, parent, dropped, asks, 0, 0
         self.path = f"{parent.path}/{sign}" if parent else sign
         self.depth = parent.depth + 1 if parent else 0
 
 
-def _blocks(html: str) -> list[tuple[_Node, str, bool]]:
-    """(element, text, dropped) of each block in page order; white space is one space, no block is empty."""
-    root = at = _Node("", None, "", False)
-    out: list[tuple[_Node, str, bool]] = []
+@dataclass(slots=True)
+class _Block:
+    node: _Node
+    text: str
+    linked: int  # characters inside links
+
+
+def _blocks(html: str) -> list[_Block]:
+    """Blocks outside dropped elements in page order; white space is one space, no block is empty."""
+    at = _Node("", None, "", False)
+    out: list[_Block] = []
     held: list[str] = []
+    linked = 0
     inline: list[tuple[str, bool]] = []  # open inline elements of the block, with what was dropped outside
-    hush = False  # inside a dropped inline element
+    hush, links = False, 0  # inside a dropped inline element; open links
     pos, end = 0, len(html)
 
     def flush() -> None:
+        nonlocal linked
         if held:
             text = " ".join("".join(held).split())
             held.clear()
-            if text:
-                out.append((at, text, at.dropped))
+            # text that stands right in an article's header is a byline, not a heading
+            if text and at.tag != "header":
+                out.append(_Block(at, text, linked))
+        linked = 0
 
     while pos < end:
         m = TOKEN.search(html, pos)
         stop = m.start() if m else end
         if stop > pos and not at.dropped and not hush:
-            held.append(unescape(html[pos:stop]))
+            piece = unescape(html[pos:stop])
+            held.append(piece)
+            if links:
+                linked += len(piece.strip())
         if not m:
             break
         pos = m.end()
@@ -135,6 +170,7 @@ def _blocks(html: str) -> list[tuple[_Node, str, bool]]:
                     if inline[k][0] == tag:
                         hush = inline[k][1]
                         del inline[k:]
+                        links = sum(x[0] == "a" for x in inline)
                         break
                 continue
             node = at
@@ -144,7 +180,7 @@ def _blocks(html: str) -> list[tuple[_Node, str, bool]]:
                 flush()
                 at = node.parent
                 inline.clear()
-                hush = False
+                hush, links = False, 0
             elif tag == "p":
                 flush()
             continue
@@ -152,10 +188,11 @@ def _blocks(html: str) -> list[tuple[_Node, str, bool]]:
             if tag == "br":
                 held.append(" ")
             elif tag not in VOID:
-                bad, _ = _furniture(tag, attrs)
+                hidden, asks, _ = _furniture(tag, attrs)
                 if not attrs.endswith("/"):
                     inline.append((tag, hush))
-                    hush = hush or bad or tag in DROP
+                    hush = hush or hidden or asks > 0 or tag in DROP
+                    links += tag == "a"
             continue
         if tag in RAW and not attrs.endswith("/"):
             close = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, pos)
@@ -167,7 +204,7 @@ def _blocks(html: str) -> list[tuple[_Node, str, bool]]:
             continue
         flush()
         inline.clear()
-        hush = False
+        hush, links = False, 0
         if tag in CLOSES_P:
             node = at
             while node.parent is not None and node.tag != "p" and node.tag not in SCOPE:
@@ -183,17 +220,18 @@ def _blocks(html: str) -> list[tuple[_Node, str, bool]]:
         if tag == "body":  # a head without end tag ends here
             while at.parent is not None and at.tag != "html":
                 at = at.parent
-        bad, sign = _furniture(tag, attrs)
-        bad = bad or tag in DROP
+        hidden, asks, sign = _furniture(tag, attrs)
+        if tag in WRAPPERS:
+            asks = max(asks, LEAST_SHARE)
+        bad = hidden or tag in DROP - WRAPPERS
         if tag == "header" or at.tag == "header" and tag not in HEADINGS:
             inside = at
             while inside is not None and inside.tag not in ("article", "main"):
                 inside = inside.parent
             bad = bad or inside is None or tag != "header"
-        at = _Node(tag, at, sign, at.dropped or bad)
+        at = _Node(tag, at, sign, at.dropped or bad, asks)
     flush()
-    # text that stands right in an article's header is a byline, not a heading
-    return [(n, t, d or n.tag == "header") for n, t, d in out]
+    return out
 
 
 def _smooth(values: list[float], radius: int = 2, sigma: float = 1.0) -> list[float]:
@@ -209,22 +247,23 @@ def _smooth(values: list[float], radius: int = 2, sigma: float = 1.0) -> list[fl
     return out
 
 
-def content_paths(blocks: list[tuple[_Node, str, bool]], share: float = 0.5) -> set[str]:
+def content_paths(blocks: list[_Block], share: float = 0.5) -> set[str]:
     """Paths whose smoothed, fused length and punctuation ratios reach ``share`` standard deviations."""
     if not blocks:
         return set()
     sums: dict[str, list[float]] = {}
-    for node, text, _ in blocks:
-        s = sums.setdefault(node.path, [0, 0, 0])
+    for b in blocks:
+        s = sums.setdefault(b.node.path, [0, 0, 0])
         s[0] += 1
-        s[1] += len(text)
-        s[2] += len(PUNCT.findall(text))
-    lengths = _smooth([sums[n.path][1] / sums[n.path][0] for n, _, _ in blocks])
-    marks = _smooth([1 + sums[n.path][2] / sums[n.path][0] for n, _, _ in blocks])
-    fused = [a * b for a, b in zip(lengths, marks)]
+        s[1] += max(0, len(b.text) - 2 * b.linked)  # linked text speaks against a path
+        s[2] += len(PUNCT.findall(b.text))
+    lengths = [sums[b.node.path][1] / sums[b.node.path][0] for b in blocks]
+    marks = [1 + sums[b.node.path][2] / sums[b.node.path][0] for b in blocks]
+    # a path counts by itself and by where it stands: the mean of own and smoothed ratio, multiplied over both kinds
+    fused = [math.sqrt(x * sx * y * sy) for x, sx, y, sy in zip(lengths, _smooth(lengths), marks, _smooth(marks))]
     per: dict[str, list[float]] = {}
-    for (node, _, _), x in zip(blocks, fused):
-        per.setdefault(node.path, []).append(x)
+    for b, x in zip(blocks, fused):
+        per.setdefault(b.node.path, []).append(x)
     score = {p: sum(x) / len(x) for p, x in per.items()}
     mean = sum(fused) / len(fused)
     level = share * math.sqrt(sum((x - mean) ** 2 for x in fused) / len(fused))
@@ -232,48 +271,83 @@ def content_paths(blocks: list[tuple[_Node, str, bool]], share: float = 0.5) ->
     return {p for p, x in score.items() if x >= min(level, best)}
 
 
+def _ancestors(node: _Node | None) -> Iterator[_Node]:
+    while node is not None:
+        yield node
+        node = node.parent
+
+
+def _weigh(blocks: list[_Block], paths: set[str]) -> int:
+    """Characters of selected blocks, in all and below every element (``mass``); ``size`` has those of all blocks."""
+    total = 0
+    for b in blocks:
+        for up in _ancestors(b.node):
+            up.mass = up.size = 0
+    for b in blocks:
+        for up in _ancestors(b.node):
+            up.size += len(b.text)
+        if b.node.path in paths:
+            total += len(b.text)
+            for up in _ancestors(b.node):
+                up.mass += len(b.text)
+    return total
+
+
 def main_text(html: str | None, share: float = 0.5, mass: float = 0.8) -> str:
     """The article's blocks joined by an empty line; empty without any text."""
     if not html:
         return ""
-    blocks = [b for b in _blocks(html) if not b[2]]
+    blocks = [b for b in _blocks(html) if not b.node.dropped]
+    # furniture by name, judged by the selected text of the page as a whole
+    total = _weigh(blocks, content_paths(blocks, share))
+    texts = {up for b in blocks for up in _ancestors(b.node) if up.tag in ("article", "main")}
+    refused: dict[_Node, bool] = {}
+
+    def furniture(node: _Node) -> bool:
+        if not node.asks:
+            return False
+        above = set(_ancestors(node))
+        rivals = (t for t in texts if t not in above and node not in _ancestors(t))
+        return not total or node.mass < node.asks * total or any(t.size >= RIVAL * node.size for t in rivals)
+
+    def refuses(node: _Node | None) -> bool:
+        if node is None:
+            return False
+        if node not in refused:
+            refused[node] = refuses(node.parent) or furniture(node)
+        return refused[node]
+
+    blocks = [b for b in blocks if not refuses(b.node)]
+    if not blocks:
+        return ""
     paths = content_paths(blocks, share)
-    weight: dict[_Node, int] = {}
-    total = 0
-    for node, text, _ in blocks:
-        if node.path in paths:
-            total += len(text)
-            up: _Node | None = node
-            while up is not None:
-                weight[up] = weight.get(up, 0) + len(text)
-                up = up.parent
+    total = _weigh(blocks, paths)
+    picked = [b.node.path in paths for b in blocks]
+    # the smallest element that holds most of the selected text, or the article or main around it
     holder = None
-    for node, w in weight.items():
-        if w >= mass * total and node.tag not in CLOSES_P - SCOPE and (holder is None or node.depth > holder.depth):
-            holder = node
-    # a section, list or table is a part of the article that holds it
-    up = holder
-    while up is not None:
-        if up.tag in ("article", "main"):
-            holder = up
+    for b in blocks:
+        for up in _ancestors(b.node):
+            if up.mass >= mass * total and up.tag not in CLOSES_P - SCOPE and (holder is None or up.depth > holder.depth):
+                holder = up
+    holder = next((up for up in _ancestors(holder) if up.tag in ("article", "main")), None)
+    if holder is not None:
+        return "\n\n".join(b.text for b in blocks if holder in _ancestors(b.node))
+    # without either: what is selected, headings before it, and what is prose by its place
+    first, last = picked.index(True), len(picked) - 1 - picked[::-1].index(True)
+    around = {up for b, p in zip(blocks, picked) if p for up in _ancestors(b.node.parent) if up.tag not in ("", "html", "body")}
+    prose = lambda b: b.linked < LINKED * len(b.text)
+    # a short block of a kind that texts consist of, in an element with selected text or beside one in it
+    near = lambda b: b.node.tag in ENDS and not NOTICE.match(b.text) and (b.node.parent in around or b.node.parent.parent in around)
+    kept = [p or first < k < last and prose(b) for k, (b, p) in enumerate(zip(blocks, picked))]
+    for k in range(first - 1, -1, -1):
+        if not (prose(blocks[k]) and (blocks[k].node.tag in HEADINGS or near(blocks[k]))):
+            break
+        kept[k] = True
+    for k in range(last + 1, len(blocks)):
+        if not (prose(blocks[k]) and near(blocks[k])):
             break
-        up = up.parent
-    else:
-        # without either, what holds all of the content
-        holder = max((n for n, w in weight.items() if w == total), key=lambda n: n.depth, default=None)
-        while holder is not None and holder.tag not in ("div", "section", "body", "html", ""):
-            holder = holder.parent
-    kept = []
-    for k, (node, _, _) in enumerate(blocks):
-        up = node
-        while up is not None and up is not holder:
-            up = up.parent
-        if up is not None:
-            kept.append(k)
-    if kept and (holder is None or holder.tag not in ("article", "main")):
-        while kept[0] and blocks[kept[0] - 1][0].tag in HEADINGS:  # a heading right before the holder is the text's
-            kept.insert(0, kept[0] - 1)
-    return "\n\n".join(blocks[k][1] for k in kept)
+        kept[k] = True
+    return "\n\n".join(b.text for b, k in zip(blocks, kept) if k)
 
 
 def extract_main_text(pages: DataFrame, share: float = 0.5, mass: float = 0.8) -> DataFrame:
