@@ -25,27 +25,18 @@ from pyspark.sql import functions as F
 from feedmill.llm.components import connected_components
 from feedmill.runtime import cut, discard
 
+#: Edits within which lines link: one for each so many characters of the shorter line, and at most MAX_EDITS.
+CHARS_PER_EDIT = 12
 MAX_EDITS = 2
-#: What the query and the pipeline ask for: every line with a word takes part, and one of SHORT_CHARS characters may differ in an edit.
-MIN_WORDS = 1
-SHORT_CHARS = 12
-MIN_CHARS = 24
 #: With more lines to fetch for verification than this, fetching is left to a shuffle.
 BROADCAST_LINES = 1_000_000
 DIRECT = 256
 _TOP = np.int64(-(2**63))
 
 
-def lines_of(text: str | None, min_words: int) -> list[tuple[int, str]]:
-    """(place, line without outer white space) of the lines that take part."""
-    if not text:
-        return []
-    out = []
-    for i, line in enumerate(text.split("\n")):
-        line = line.strip()
-        if line and len(line.split(None, min_words)) >= min_words:
-            out.append((i, line))
-    return out
+def lines_of(text: str | None) -> list[tuple[int, str]]:
+    """(place, line without outer white space) of the lines with a word."""
+    return [(i, x) for i, line in enumerate(text.split("\n")) if (x := line.strip())] if text else []
 
 
 def line_id(line: str) -> int:
@@ -64,11 +55,9 @@ def segments(n: int, k: int) -> list[tuple[int, int]]:
     return out
 
 
-def reach(n: int, max_edits: int, min_chars: int, short_chars: int | None) -> int:
-    """Edits within which a line of n characters links to lines as long or longer: one below ``min_chars``, none below ``short_chars``."""
-    if n >= min_chars:
-        return max_edits
-    return min(1, max_edits) if short_chars is not None and n >= short_chars else 0
+def reach(n: int, max_edits: int = MAX_EDITS, chars_per_edit: int = CHARS_PER_EDIT) -> int:
+    """Edits within which a line of n characters links to lines as long or longer."""
+    return min(max_edits, n // chars_per_edit)
 
 
 def probes(n: int, most: int, reach_of: Callable[[int], int]) -> list[tuple[int, int, int, int]]:
@@ -213,7 +202,7 @@ def _meet(keys: np.ndarray, ids: np.ndarray, marks: np.ndarray, most: int) -> pa
     return pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["u", "v"])
 
 
-def _candidates(texts: DataFrame, k: int, min_words: int, reach_of: Callable[[int], int]) -> DataFrame:
+def _candidates(texts: DataFrame, k: int, reach_of: Callable[[int], int]) -> DataFrame:
     """(text) -> pairs (u, v) of line ids that may be within reach, of k edits at most."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +212,7 @@ def _candidates(texts: DataFrame, k: int, min_words: int, reach_of: Callable[[in
             for part in range(0, b.num_rows, 256):
                 lines, ids = [], []
                 for t in b.column(0).slice(part, 256):
-                    for _, line in lines_of(t.as_py(), min_words):
+                    for _, line in lines_of(t.as_py()):
                         if reach_of(len(line)):
                             own = line_id(line)
                             if own not in known:  # a line that this task has sent already needn't go again
@@ -262,14 +251,14 @@ def _candidates(texts: DataFrame, k: int, min_words: int, reach_of: Callable[[in
     )
 
 
-def _line_table(docs: DataFrame, min_words: int) -> DataFrame:
+def _line_table(docs: DataFrame) -> DataFrame:
     """(doc_id, text, h) -> (doc_id, h, line_no, id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, places, ids = [], [], []
             for r, t in enumerate(b.column(1)):
-                for i, line in lines_of(t.as_py(), min_words):
+                for i, line in lines_of(t.as_py()):
                     rows.append(r)
                     places.append(i)
                     ids.append(line_id(line))
@@ -318,25 +307,24 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
 
 
-def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_words: int = 3, min_chars: int = MIN_CHARS, short_chars: int | None = None) -> DataFrame:
-    """(doc_id, text) -> one row for each line that takes part: doc_id, h, line_no, class_doc_id, class_line_no, n_links, dropped.
+def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, chars_per_edit: int = CHARS_PER_EDIT) -> DataFrame:
+    """(doc_id, text) -> one row for each line with a word: doc_id, h, line_no, class_doc_id, class_line_no, n_links, dropped.
 
-    Lines are compared without outer white space.  Lines of fewer than ``min_words`` words
-    take no part and are never dropped.  Lines of fewer than ``min_chars`` characters link
-    within one edit if they have ``short_chars`` characters, and else are only equal to equal
-    ones; of two lines the shorter decides.  A class is what links of at most ``max_edits`` edits connect; it is
-    named by its first line, by (doc_id, line_no), null ids last; all but lines equal in place
-    and text to that first one are ``dropped``.  n_links counts the other line texts within
-    reach.  ``h`` is the hash of the document's text: rows of one doc_id and text are one
-    document, rows of one doc_id and different texts are documents of their own.  Null and
-    empty texts have no lines; other columns are ignored.
+    Lines are compared without outer white space.  Two lines link within one edit for each
+    ``chars_per_edit`` characters of the shorter one, ``max_edits`` at most: lines shorter than
+    that are only equal to equal ones.  A class is what links connect; it is named by its first
+    line, by (doc_id, line_no), null ids last; all but lines equal in place and text to that
+    first one are ``dropped``.  n_links counts the other line texts within reach.  ``h`` is the
+    hash of the document's text: rows of one doc_id and text are one document, rows of one
+    doc_id and different texts are documents of their own.  Null and empty texts have no lines;
+    other columns are ignored.
     """
     docs = _keyed(docs)
-    lines = cut(_line_table(docs, min_words))
+    lines = cut(_line_table(docs))
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "line_no", "h")
     firsts = cut(lines.groupBy("id").agg(F.min(place).alias("p")).select("id", "p.doc_id", "p.line_no", "p.h"))
-    reach_of = partial(reach, max_edits=max_edits, min_chars=min_chars, short_chars=short_chars)
-    pairs = cut(_candidates(docs, max_edits, min_words, reach_of))
+    reach_of = partial(reach, max_edits=max_edits, chars_per_edit=chars_per_edit)
+    pairs = cut(_candidates(docs, max_edits, reach_of))
     links = _verified(docs, pairs, firsts, reach_of)
     discard(pairs)
     degree = links.select(F.col("u").alias("id")).unionAll(links.select("v")).groupBy("id").agg(F.count("*").alias("n_links"))
@@ -344,9 +332,11 @@ def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_words: int = 3
     linked = cut(roots.join(firsts, "id").join(degree, "id"))
     heads = linked.groupBy("root").agg(F.min(place).alias("c"))
     named = linked.join(heads, "root").select("id", "c", "n_links")
-    classes = firsts.join(named, "id", "left").select(
+    # a written table: both sides of the next join are then dealt out for it alone, and a line that
+    # a third of all documents have can be split among tasks
+    classes = cut(firsts.join(named, "id", "left").select(
         "id", F.coalesce("c", place).alias("c"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
-    )
+    ))
     joined = lines.join(classes, "id")
     same = F.col("doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("line_no") == F.col("c.line_no")) & (F.col("h") == F.col("c.h"))
     return joined.select(
@@ -354,12 +344,12 @@ def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_words: int = 3
     )
 
 
-def drop_repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_words: int = 3, min_chars: int = MIN_CHARS, short_chars: int | None = None) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS, chars_per_edit: int = CHARS_PER_EDIT) -> DataFrame:
     """``docs`` with the dropped lines taken out of ``text``; rows left without any word go, rows that had none stay.
 
     The other lines stay as they are; n_chars, if there, is counted anew.
     """
-    found = line_classes(docs, max_edits, min_words, min_chars, short_chars).filter("dropped").select(
+    found = line_classes(docs, max_edits, chars_per_edit).filter("dropped").select(
         F.col("doc_id").alias("__d"), F.col("h").alias("__h"), "line_no"
     ).distinct()
     per_doc = found.groupBy("__d", "__h").agg(F.collect_set("line_no").alias("__out"))

@@ -50,12 +50,12 @@ def test_toxic_documents_go(spark, stages):
 def test_repeated_lines_go(stages):
     lines, docs = {}, {r.doc_id: r.text for r in stages[1].collect()}
     for d, t in docs.items():
-        for i, x in line_dedup.lines_of(t, line_dedup.MIN_WORDS):
+        for i, x in line_dedup.lines_of(t):
             lines[d, i] = x
     texts = sorted(set(lines.values()))
     near = [
         (a, b) for a, b in combinations(texts, 2)
-        if min(len(a), len(b)) >= line_dedup.MIN_CHARS and abs(len(a) - len(b)) <= 2 and sum(((c := Counter(a)) - (e := Counter(b))).values()) + sum((e - c).values()) <= 4 and line_dedup.within(a, b, 2)
+        if abs(len(a) - len(b)) <= 2 and min(len(a), len(b)) >= 12 and sum(((c := Counter(a)) - (e := Counter(b))).values()) + sum((e - c).values()) <= 4 and line_dedup.within(a, b, min(2, min(len(a), len(b)) // 12))
     ]
     root, first = root_of(texts, near), {}
     for place in sorted(lines):

@@ -26,10 +26,10 @@ def test_short_lines_are_classed(spark, tmp_path):
 
 def test_short_lines_equal_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").limit(400)
-    short = {x for r in docs.collect() for _, x in line_dedup.lines_of(r.text, 1) if line_dedup.SHORT_CHARS <= len(x) < 24}
-    short |= {x[:-1] for x in sorted(short)[:40] if len(x) > line_dedup.SHORT_CHARS}
+    short = {x for r in docs.collect() for _, x in line_dedup.lines_of(r.text) if line_dedup.CHARS_PER_EDIT <= len(x) < 24}
+    short |= {x[:-1] for x in sorted(short)[:40] if len(x) > line_dedup.CHARS_PER_EDIT}
     df = spark.createDataFrame(list(enumerate(sorted(short))), "doc_id long, text string")
-    got = line_dedup.line_classes(df, min_words=1, short_chars=line_dedup.SHORT_CHARS).agg(F.sum("n_links")).first()[0]
+    got = line_dedup.line_classes(df).agg(F.sum("n_links")).first()[0]
     assert got == 2 * sum(line_dedup.within(a, b, 1) for a, b in combinations(sorted(short), 2)) > 0
 
 
