@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import html
+from collections.abc import Iterator
+from html.parser import HTMLParser
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,17 +15,18 @@ LEGAL_TOKENS = ("inc", "llc", "llp", "ltd", "limited", "corp", "corporation", "p
 LEGAL_SUFFIXES = ("incorporated", "inc", "llc", "llp", "ltd", "limited", "corp", "corporation", "plc", "gmbh", "pty", "pte")
 #: Words of a title that say level, not kind of work (fixed values).
 LEVEL_WORDS = (
-    "senior sr staff lead principal ii iii iv junior jr intern internship co op new grad graduate entry associate mid level "
-    "summer fall spring winter"
-).split()
+    "senior", "sr", "staff", "lead", "principal", "ii", "iii", "iv", "junior", "jr", "intern", "internship", "co", "op", "new", "grad", "graduate",
+    "entry", "associate", "mid", "level", "summer", "fall", "spring", "winter",
+)
 #: Texts that stand for a missing value (fixed values).
 PLACEHOLDERS = ("", "nan", "nat", "none", "null", "n/a", "na", "-")
+#: Words of titles in capitals, Roman numbers, small words (fixed values).
 ROLE_ACRONYMS = (
-    "ai api aws b2b b2c cad cna cnc cpa cs dei dsp eeo ehs emt eu fpga gcp gis hr hvac it lp lpn mba ml osha phd pr qa rf rn "
-    "saas sql stem ui uk us usa ux"
-).split()
-ROLE_ROMAN = "i ii iii iv v vi vii viii ix x".split()
-ROLE_SMALL = "a an and at by for in of on or the to with".split()
+    "ai", "api", "aws", "b2b", "b2c", "cad", "cna", "cnc", "cpa", "cs", "dei", "dsp", "eeo", "ehs", "emt", "eu", "fpga", "gcp", "gis", "hr", "hvac",
+    "it", "lp", "lpn", "mba", "ml", "osha", "phd", "pr", "qa", "rf", "rn", "saas", "sql", "stem", "ui", "uk", "us", "usa", "ux",
+)
+ROLE_ROMAN = ("i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix", "x")
+ROLE_SMALL = ("a", "an", "and", "at", "by", "for", "in", "of", "on", "or", "the", "to", "with")
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"))
 
 
@@ -69,6 +75,60 @@ def html_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(flat, r" ?\n[ \n]*", "\n"))
 
 
+class _Data(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__()
+        self.parts: list[str] = []
+
+    def handle_data(self, data: str) -> None:
+        self.parts.append(data)
+
+
+def _parsed(value: str | None) -> str | None:
+    if value is None:
+        return None
+    value = html.unescape(value)
+    if "<" in value:
+        parser = _Data()
+        parser.feed(value)
+        value = html.unescape("".join(parser.parts))
+    flat = " ".join(value.split())
+    return None if flat.lower() in ("", "nan", "n/a", "na", "none", "null", "<>") else flat
+
+
+def parsed_text(c: Column) -> Column:
+    """Character data of markup as a tokenizer reads it, references decoded before and after; placeholders are null."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for b in batches:
+            yield pa.array([_parsed(x.as_py()) for x in b], pa.string())
+
+    return F.arrow_udf(run, "string")(c.cast("string"))
+
+
+#: The entities that page text decodes, in order (fixed values).
+PAGE_ENTITIES = (("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"))
+
+
+def page_text(c: Column) -> Column:
+    """Line ends for breaks and paragraphs, tags to spaces, six entities, and all white space one space."""
+    t = F.regexp_replace(text(c), "<br>|<br/>|</p>", "\n")
+    t = F.regexp_replace(t, "<[^>]+>", " ")
+    for entity, char in PAGE_ENTITIES:
+        t = F.replace(t, F.lit(entity), F.lit(char))
+    return squeeze(t)
+
+
+def vendor_text(c: Column) -> Column:
+    """Tags to spaces and no-break entities to spaces; inner white space stays."""
+    return F.trim(F.replace(F.regexp_replace(text(c), "<[^>]+>", " "), F.lit("&nbsp;"), F.lit(" ")))
+
+
+def bare_text(c: Column) -> Column:
+    """Tags to spaces and nothing else."""
+    return F.trim(F.regexp_replace(text(c), "<[^>]+>", " "))
+
+
 def placeholder_to_null(c: Column) -> Column:
     kept = squeeze(c)
     return F.when(~F.lower(kept).isin("", "nan", "n/a", "na", "none", "null", "<>"), kept)
@@ -90,14 +150,24 @@ def sponsor_key(c: Column) -> Column:
     return F.array_join(F.slice(words, F.lit(1), F.greatest(last, F.lit(1))), " ")
 
 
+#: Keys of employers that go by another name (fixed values).
+EMPLOYER_ALIASES = {
+    "bah": "boozallenhamilton", "boozallen": "boozallenhamilton", "ngc": "northropgrumman", "amat": "appliedmaterials",
+    "gdms": "generaldynamicsmissionsystems", "snc": "sierranevada", "aero": "aerospace", "alliance": "nissan", "ag": "airbus",
+    "leonardocompany": "leonardo", "americascookmedical": "cookgroup", "carrieresmarvesting": "marvesting", "microntechnology": "micron",
+    "llnl": "lawrencelivermorenationallaboratory", "talos": "talostrading",
+}
+
+
 def employer_key(c: Column, rounds: int = 4) -> Column:
-    """Letters and digits only, legal endings peeled while more than two characters stay."""
-    key = F.regexp_replace(F.lower(text(c)), r"[^a-z0-9]+", "")
+    """Letters and digits only, legal endings peeled while more than two characters stay, other names of an employer brought together."""
+    raw = key = F.regexp_replace(F.lower(text(c)), r"[^a-z0-9]+", "")
     # the endings in order, a few rounds: peeling one can bare another
     for _ in range(rounds):
         for suffix in LEGAL_SUFFIXES:
             key = F.regexp_replace(key, f"^(.{{3,}}){suffix}$", "$1")
-    return key
+    known = F.create_map(*[F.lit(x) for pair in EMPLOYER_ALIASES.items() for x in pair])
+    return F.coalesce(known[key], known[raw], key)
 
 
 def role_tokens(c: Column) -> Column:
@@ -178,3 +248,81 @@ def meta_description(html: Column, least: int = 40) -> Column:
     found = F.regexp_extract_all(text(html), F.lit(r"""(?is)<meta[^>]+(?:name|property)=["'](?:og:)?description["'][^>]+content=["']([^"']*)["']"""), 1)
     clean = F.transform(found, strip_tags)
     return F.get(F.filter(clean, lambda x: F.length(x) >= least), F.lit(0))
+
+
+#: Titles that say nothing, and what trails a page's title (fixed values).
+EMPTY_TITLE = r"(?i)^(?:job\s*details?|careers?|job\s*search|search\s*jobs?|positions?|apply|vacanc(?:y|ies)|current\s+openings?)\s*$"
+TITLE_TAIL = r"(?i)\s*(?:\||–|—|-)\s*(?:job\s*details?|careers?|search|jobs|home)\s*$"
+EMPLOYER_JOINTS = (" - ", " | ", " – ", " — ", ", ", " @ ", " at ")
+
+
+def fallback_role(title: Column, company: Column) -> Column:
+    """A role out of a page's title: without the employer and up to three tails; empty for titles that say nothing."""
+    label = F.lower(squeeze(F.regexp_replace(text(company), "<[^>]+>", " ")))
+    edge = lambda x: F.regexp_replace(x, "^[ \\-|–—]+|[ \\-|–—]+$", "")
+
+    def without_employer(x: Column) -> Column:
+        out = x
+        for joint in reversed(EMPLOYER_JOINTS):
+            tail = F.concat(F.lit(joint), label)
+            out = F.when((label != "") & F.lower(x).endswith(tail), F.substring(x, 1, F.length(x) - F.length(tail))).otherwise(out)
+        return out
+
+    def round_(x: Column) -> Column:
+        head, last = F.regexp_extract(x, r"^(.*)\|(.*)$", 1), F.regexp_extract(x, r"^(.*)\|(.*)$", 2)
+        words = F.size(F.filter(F.split(F.trim(last), r"\s+"), lambda w: w != ""))
+        cut = x.contains("|") & (F.trim(head) != "") & words.between(1, 5)
+        bare = edge(F.regexp_replace(edge(F.regexp_replace(x, TITLE_TAIL, "")), r"(?i)\s+job\s*details?\s*$", ""))
+        return F.when(cut, head).otherwise(edge(without_employer(bare)))
+
+    # one element a round: a lambda's argument is computed once, an expression put in place of its name is not
+    first = F.transform(F.array(F.trim(text(title))), without_employer)
+    for _ in range(3):
+        first = F.transform(first, round_)
+    role = first[0]
+    return F.when((role == "") | role.rlike(EMPTY_TITLE), "").otherwise(role)
+
+
+def observation_key(bucket: Column, company: Column, role: Column, location: Column, clean: bool = True) -> Column:
+    """``bucket|company|role|location`` of the observation log."""
+    return F.concat_ws("|", bucket, clean_company(company) if clean else text(company), F.trim(text(role)), F.trim(text(location)))
+
+
+def loose_pair(key: Column) -> Column:
+    """``company|role`` of an observation key with the role's letters and digits only; null if the key has fewer than three parts."""
+    parts = F.split(text(key), r"\|", 4)
+    return F.when(F.size(parts) >= 3, F.concat(F.get(parts, F.lit(1)), F.lit("|"), loose_title(F.get(parts, F.lit(2)))))
+
+
+def escaped(c: Column) -> Column:
+    """Text as markup."""
+    out = text(c)
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        out = F.replace(out, F.lit(char), F.lit(entity))
+    return out
+
+
+def location_cell(cleaned: Column) -> Column:
+    """Parts of a cleaned location below one another, folded up from four of them."""
+    parts = F.filter(F.transform(F.split(cleaned, ","), lambda p: escaped(F.trim(p))), lambda p: p != "")
+    joined = F.array_join(parts, "<br>")
+    folded = F.concat(F.lit("<details><summary><strong>"), F.size(parts).cast("string"), F.lit(" locations</strong></summary>"), joined, F.lit("</details>"))
+    return F.when(F.size(parts) == 0, "N/A").when(F.size(parts) <= 3, joined).otherwise(folded)
+
+
+def company_cell(company: Column, link: Column, repeated: Column, title: Column) -> Column:
+    """A linked employer, marked with an arrow where it repeats the row above; ``title`` has the full name if it was cut."""
+    base = F.concat(F.lit("<strong>"), escaped(company), F.lit("</strong>"))
+    cell = F.when(repeated, F.concat(F.lit("↳ "), base)).otherwise(base)
+    attrs = F.when(title != "", F.concat(F.lit(' title="'), escaped(title), F.lit('"'))).otherwise("")
+    return F.when(text(link) != "", F.concat(F.lit('<a href="'), escaped(link), F.lit('"'), attrs, F.lit(">"), cell, F.lit("</a>"))).otherwise(cell)
+
+
+def role_cell(role: Column, width: int = 48) -> Column:
+    shown, full = truncate(role, width), F.trim(text(role))
+    attrs = F.when(shown != full, F.concat(F.lit(' title="'), escaped(full), F.lit('"'))).otherwise("")
+    return F.concat(F.lit("<td"), attrs, F.lit(">"), escaped(shown), F.lit("</td>"))
+
+
+def visa_cell(role: Column, sponsor: Column) -> Column:
+    return F.when(F.trim(text(role)) != "", "role").when(F.trim(text(sponsor)) == "true", "company").otherwise("")

@@ -11,14 +11,15 @@ from feedmill.functions.text import text
 TRACKING = ("ref", "source", "in_iframe")
 #: Brand labels of portals that have no page of their own for a posting (fixed values).
 AGGREGATOR_BRANDS = (
-    "adzuna whatjobs himalayas 4dayweek governmentjobs wellfound weworkremotely comeet comparably sequoia-connect "
-    "welcometothejungle remoteok builtin dice glassdoor indeed ziprecruiter monster simplyhired levelsfyi jooble jobrapido "
-    "lensa snagajob"
-).split()
+    "adzuna", "whatjobs", "himalayas", "4dayweek", "governmentjobs", "wellfound", "weworkremotely", "comeet", "comparably", "sequoia-connect",
+    "welcometothejungle", "remoteok", "builtin", "dice", "glassdoor", "indeed", "ziprecruiter", "monster", "simplyhired", "levelsfyi", "jooble",
+    "jobrapido", "lensa", "snagajob",
+)
 #: Path words that stand where an id would (fixed values).
 ROUTE_WORDS = (
-    "application apply jobs job careers career embed login api oauth search external postings posting openings talent index new all"
-).split()
+    "application", "apply", "jobs", "job", "careers", "career", "embed", "login", "api", "oauth", "search", "external", "postings", "posting",
+    "openings", "talent", "index", "new", "all",
+)
 UUID = "[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
 
 
@@ -127,32 +128,71 @@ def serving_id(kind: Column, ident: Column, link: Column) -> Column:
 
 
 def tail_id(link: Column) -> Column:
-    """Last path segment unless it is a route; null without one."""
-    tail = F.regexp_extract(F.regexp_replace(F.substring_index(F.substring_index(text(link), "?", 1), "#", 1), "/+$", ""), "/([^/]+)$", 1)
+    """Last segment of the path unless it is a route; null without one."""
+    tail = F.regexp_extract(F.regexp_replace(path(link), "/+$", ""), "/([^/]+)$", 1)
     return F.when((tail != "") & ~F.lower(tail).isin("jobs", "job", "apply"), tail)
 
 
 def requisition_id(link: Column) -> Column:
     """``R2600885`` of ``.../Title_R2600885``; null if the tail has another shape."""
-    found = F.regexp_extract(F.regexp_replace(F.substring_index(F.substring_index(text(link), "?", 1), "#", 1), "/+$", ""), r"/[^/]*_([A-Za-z]{1,4}\d{4,})$", 1)
+    bare = F.regexp_replace(F.substring_index(F.substring_index(text(link), "?", 1), "#", 1), "/+$", "")
+    found = F.regexp_extract(bare, r"/[^/]*_([A-Za-z]{1,4}\d{4,})$", 1)
     return F.when(found != "", found)
 
 
-#: Boards whose URLs name a board of their own: host pattern and where the slug stands (fixed values).
-BOARD_HOSTS = (
-    ("greenhouse", r"^(?:job-)?boards\.greenhouse\.io$", 1), ("lever", r"^jobs\.lever\.co$", 1), ("ashby", r"^jobs\.ashbyhq\.com$", 1),
-    ("workable", r"^apply\.workable\.com$", 1), ("smartrecruiters", r"^(?:jobs|careers)\.smartrecruiters\.com$", 1),
-    ("recruitee", r"^([a-z0-9-]+)\.recruitee\.com$", 0), ("teamtailor", r"^([a-z0-9-]+)\.teamtailor\.com$", 0),
-    ("breezy", r"^([a-z0-9-]+)\.breezy\.hr$", 0), ("bamboohr", r"^([a-z0-9-]+)\.bamboohr\.com$", 0),
-    ("pinpoint", r"^([a-z0-9-]+)\.pinpointhq\.com$", 0), ("personio", r"^([a-z0-9-]+)\.jobs\.personio\.(?:de|com)$", 0),
+#: Segments of a path that never name a board, and hosts whose path does: board, host pattern (fixed values).
+NON_SLUGS = ("jobs", "job", "embed", "j", "apply", "application", "cxs", "wday")
+PATH_BOARDS = (
+    ("Greenhouse", r"^(?:job-)?boards\.(?:eu\.)?greenhouse\.io$", True), ("Lever", r"^jobs\.(?:eu\.)?lever\.co$", False), ("Ashby", r"^jobs\.ashbyhq\.com$", False),
+    ("SmartRecruiters", r"\.smartrecruiters\.com$", False), ("Workable", r"^(?:(?:apply|jobs)\.)?workable\.com$", True), ("Rippling", r"^ats\.rippling\.com$", True),
+)
+#: Boards that their host names: board, pattern with the slug (fixed values).
+HOST_BOARDS = (
+    ("Pinpoint", r"^(.+)\.pinpointhq\.com$"), ("Recruitee", r"^(.+)\.recruitee\.com$"), ("Teamtailor", r"^(.+)\.teamtailor\.com$"), ("Breezy", r"^(.+)\.breezy\.hr$"),
+    ("Personio", r"^([a-z0-9-]+)\.jobs\.personio\.(?:com|de)$"),
 )
+WORKDAY_HOST = r"^([a-z0-9-]+)\.wd\d+\.myworkdayjobs\.com$"
 
 
 def board_of(link: Column) -> Column:
-    """struct(board, slug) of a posting's link; both empty for unknown hosts."""
-    h, first = host(link), F.regexp_extract(path(link), "^/([^/]+)", 1)
-    out = F.struct(F.lit("").alias("board"), F.lit("").alias("slug"))
-    for board, pattern, place in reversed(BOARD_HOSTS):
-        slug = first if place else F.regexp_extract(h, pattern, 1)
-        out = F.when(h.rlike(pattern) & (slug != ""), F.struct(F.lit(board).alias("board"), F.lower(slug).alias("slug"))).otherwise(out)
+    """struct(board, slug) of a posting's link for seventeen vendors; both empty for unknown hosts and for what is no http link."""
+    link = F.trim(text(link))
+    h = F.when(link.rlike("(?i)^https?://"), F.regexp_replace(F.regexp_replace(host(link), "^.*@", ""), r":\d+$", "")).otherwise("")
+    parts = F.filter(F.split(path(link), "/"), lambda s: s != "")
+    first, second = F.coalesce(F.get(parts, F.lit(0)), F.lit("")), F.coalesce(F.get(parts, F.lit(1)), F.lit(""))
+    is_ = lambda board, slug: F.when(slug != "", F.struct(F.lit(board).alias("board"), slug.alias("slug"))).otherwise(none)
+    none = F.struct(F.lit("").alias("board"), F.lit("").alias("slug"))
+    site = F.when(F.lower(first).rlike("^[a-z]{2}-[a-z]{2}$") & (second != ""), second).otherwise(first)
+    workday = F.when((site != "") & ~F.lower(site).isin(*NON_SLUGS), F.concat(h, F.lit("/wday/cxs/"), F.regexp_extract(h, WORKDAY_HOST, 1), F.lit("/"), site)).otherwise("")
+    oracle = _after(parts, "sites")
+    out = (
+        F.when(h.rlike(WORKDAY_HOST), is_("Workday", workday))
+        .when(h.rlike(r"^[a-z0-9-]+\.eightfold\.ai$"), is_("Eightfold", F.regexp_extract(h, r"^([a-z0-9-]+)\.", 1)))
+        .when(h.endswith(".icims.com"), is_("iCIMS", h))
+        .when(h.contains("oraclecloud.com"), is_("Oracle", F.when(oracle != "", F.concat(h, F.lit("|"), oracle)).otherwise("")))
+        .when(h == "myjobs.adp.com", is_("ADP", F.lower(first)))
+        .when(h.rlike(r"^[a-z0-9-]+\.bamboohr\.com$"), is_("BambooHR", F.regexp_extract(h, r"^([a-z0-9-]+)\.", 1)))
+        .otherwise(none)
+    )
+    for board, pattern in reversed(HOST_BOARDS):
+        slug = F.regexp_extract(h, pattern, 1)
+        out = F.when(h.rlike(pattern), is_(board, F.when(slug != "www", slug).otherwise(""))).otherwise(out)
+    for board, pattern, routed in reversed(PATH_BOARDS):
+        slug = F.when(F.lower(first).isin(*NON_SLUGS), "").otherwise(F.lower(first)) if routed else F.lower(first)
+        out = F.when(h.rlike(pattern), is_(board, slug)).otherwise(out)
     return out
+
+
+#: Query parameters that two reports take for tracking, besides utm_*; the second report knows one more (fixed values).
+REPORT_TRACKING = ("gh_src", "lever-source", "source", "ref", "referrer")
+
+
+def report_link(link: Column, more: tuple[str, ...] = ()) -> Column:
+    """Host without www, path without final slash, query in its order without tracking; a scheme is supplied where there is none."""
+    t = F.trim(text(link))
+    full = F.when(t.contains("://"), t).otherwise(F.concat(F.lit("https://"), t))
+    kept = F.filter(F.split(query(full), "&"), lambda p: (p != "") & ~F.lower(F.substring_index(p, "=", 1)).rlike(rf"^(?:utm_.*|{'|'.join(REPORT_TRACKING + more)})$"))
+    tail = F.array_join(kept, "&")
+    return F.when(t == "", "").otherwise(
+        F.concat(F.regexp_replace(host(full), r"^www\.", ""), F.regexp_replace(path(full), "/+$", ""), F.when(tail != "", F.concat(F.lit("?"), tail)).otherwise(""))
+    )

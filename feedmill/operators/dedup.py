@@ -21,6 +21,13 @@ def filled_identity(df: DataFrame) -> DataFrame:
     ).drop("_found")
 
 
+def identity_coverage(df: DataFrame) -> DataFrame:
+    """One row (rows, identified, pct) after ids are filled from links."""
+    known = (F.col("ats_type") != "") & (F.col("ats_id") != "")
+    counts = filled_identity(df).agg(F.count("*").alias("rows"), F.count_if(known).alias("identified"))
+    return counts.withColumn("pct", F.round(100.0 * F.col("identified") / F.greatest("rows", F.lit(1)), 2))
+
+
 def identity_key(kind: Column, ident: Column, link: Column, company: Column, role: Column, location: Column) -> Column:
     """``id|``, else ``url|``, else ``details|`` key of a posting."""
     url = U.canonical(link)

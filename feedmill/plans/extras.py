@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.functions import shapes as S
-from feedmill.functions import url as U
 from feedmill.operators import dedup, serve
 from feedmill.plans.registry import Tables, query, values
 
@@ -35,17 +34,6 @@ def board_discovery(t: Tables) -> DataFrame:
     )
 
 
-@query("""
-WITH p AS (SELECT o_orderkey, o_custkey, o_orderdate, EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R') AS by_link, o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) AS by_text FROM orders)
-SELECT CASE WHEN by_link THEN 'link' WHEN by_text THEN 'text' ELSE 'new' END AS matched, count(*)::BIGINT AS n FROM p GROUP BY 1""")
-def known_by(t: Tables) -> DataFrame:
-    """Rows known by link, else by text, else new."""
-    link = t.lineitem.filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("a", F.lit(True))
-    text = t.customer.filter("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey")).distinct().withColumn("b", F.lit(True))
-    joined = t.orders.join(link, "o_orderkey", "left").join(text, "o_custkey", "left")
-    return joined.groupBy(F.when(F.col("a"), "link").when(F.col("b"), "text").otherwise("new").alias("matched")).agg(F.count("*").alias("n"))
-
-
 @query("""
 SELECT user_id FROM (SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS i, count(*) OVER () AS n FROM (SELECT user_id FROM events GROUP BY 1 HAVING max(ts) < TIMESTAMP '2024-01-30 12:00:00'))
 WHERE (i - 5 % n + n) % n < 30""")
@@ -70,54 +58,6 @@ def dead_link_eviction(t: Tables) -> DataFrame:
     return dedup.new_rows(t.orders.select("o_orderkey"), dead, ["o_orderkey"])
 
 
-BODIES = [(1, '[1,2,3]'), (2, '{"jobs":[{"a":1}]}'), (3, '{"results":[],"data":[1,2]}'), (4, '{"x":1}'), (5, "junk"), (6, None), (7, '{"_rows":[1,2],"jobs":[1]}')]
-
-
-@query("SELECT * FROM (VALUES (1, 3), (2, 1), (3, 0), (4, 0), (5, 0), (6, 0), (7, 2)) t(id, n)")
-def payload_rows(t: Tables) -> DataFrame:
-    return t.inline(BODIES, "id int, body string").select("id", S.row_count(F.col("body")).cast("int").alias("n"))
-
-
-ITEMS = [(1, '["a","b"]'), (2, "['x', 'y']"), (3, "plain"), (4, "[]"), (5, None)]
-
-
-@query("SELECT * FROM (VALUES (1, 'a'), (2, 'x'), (3, 'plain'), (4, ''), (5, '')) t(id, first)")
-def first_items(t: Tables) -> DataFrame:
-    return t.inline(ITEMS, "id int, v string").select("id", S.first_item(F.col("v")).alias("first"))
-
-
-SECTIONS = [(1, '{"sections":[{"name":"Intro","text":"i"},{"name":"jobDescription","text":"d"}]}'), (2, '{"sections":{"jobDescription":{"text":"e"}}}'), (3, "{}")]
-
-
-@query("SELECT * FROM (VALUES (1, 'd'), (2, 'e'), (3, '')) t(id, body)")
-def section_lookup(t: Tables) -> DataFrame:
-    return t.inline(SECTIONS, "id int, j string").select("id", S.section(F.col("j"), "jobDescription").alias("body"))
-
-
-PLACES = [(1, '[{"LocationName":"A"},{"LocationName":"B "},{"LocationName":"A"}]'), (2, "[]"), (3, None)]
-
-
-@query("SELECT * FROM (VALUES (1, 'A, B'), (2, ''), (3, NULL)) t(id, places)")
-def location_names(t: Tables) -> DataFrame:
-    return t.inline(PLACES, "id int, j string").select("id", S.place_names(F.col("j")).alias("places"))
-
-
-LINKS = [
-    (1, "https://boards.greenhouse.io/Acme/jobs/1"), (2, "https://acme.recruitee.com/o/x"), (3, "https://jobs.lever.co/beta/1"), (4, "https://x.example/"), (5, None),
-    (6, "https://acme.wd5.myworkdayjobs.com/en-US/s/job/Austin/Lead_R12345?x=1"), (7, "https://y.example/jobs"),
-]
-
-
-@query("""
-SELECT * FROM (VALUES (1, 'greenhouse', 'acme', '1', NULL, 'greenhouse.io'), (2, 'recruitee', 'acme', 'x', NULL, 'acme.recruitee.com'), (3, 'lever', 'beta', '1', NULL, 'lever.co'), (4, '', '', NULL, NULL, 'x.example'),
- (5, '', '', NULL, NULL, ''), (6, '', '', 'Lead_R12345', 'R12345', 'myworkdayjobs.com'), (7, '', '', NULL, NULL, 'y.example')) t(id, board, slug, tail, req, provider)""")
-def board_links(t: Tables) -> DataFrame:
-    c = F.col("link")
-    got = t.inline(LINKS, "id int, link string").withColumn("b", U.board_of(c))
-    tail = F.when(U.path(c) != "", U.tail_id(c))
-    return got.select("id", "b.board", "b.slug", F.when(~F.col("id").isin(4, 7) | tail.isNull(), tail).alias("tail"), U.requisition_id(c).alias("req"), S.provider_key(U.host(c)).alias("provider"))
-
-
 @query("""
 SELECT p_partkey, CASE WHEN p_size > 25 THEN p_type ELSE p_name || ' at ' || p_brand || CASE WHEN p_size % 2 = 0 THEN ' in ' || p_type ELSE '' END || '.' END AS description FROM part""")
 def description_fallback(t: Tables) -> DataFrame:
@@ -126,14 +66,6 @@ def description_fallback(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", S.description_or(own, F.col("p_name"), F.col("p_brand"), place).alias("description"))
 
 
-@query("""
-SELECT c_mktsegment, sum(c_acctbal_units)::BIGINT AS approvals FROM (SELECT c_mktsegment, floor(c_acctbal)::BIGINT AS c_acctbal_units FROM customer) WHERE c_acctbal_units > 0 GROUP BY 1""")
-def sponsor_approvals(t: Tables) -> DataFrame:
-    """Sums by employer; totals of zero and less do not count."""
-    units = F.floor("c_acctbal").cast("bigint")
-    return t.customer.select("c_mktsegment", units.alias("u")).filter("u > 0").groupBy("c_mktsegment").agg(F.sum("u").alias("approvals"))
-
-
 @query("""SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0 EXCEPT SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 = 0""")
 def stale_files(t: Tables) -> DataFrame:
     """Published before and not any more."""
@@ -148,21 +80,6 @@ def retained_boards(t: Tables) -> DataFrame:
     return g.orderBy(F.desc("n"), F.desc("last"), "user_id", "event_type").limit(100)
 
 
-@query("""
-SELECT page_id, round(100.0::DOUBLE * avg(CASE WHEN ident THEN 1.0 ELSE 0.0 END) OVER (), 2)::DOUBLE AS pct FROM (SELECT page_id, contains(url, 'page=') AS ident FROM pages)""")
-def identity_coverage(t: Tables) -> DataFrame:
-    """Share of rows that carry an id, beside each row."""
-    share = t.pages.agg(F.round(100.0 * F.avg(F.col("url").contains("page=").cast("double")), 2).alias("pct"))
-    return t.pages.select("page_id").join(F.broadcast(share), F.lit(True))
-
-
-@query("""SELECT CASE WHEN nation_ok THEN 'kept' WHEN n_regionkey = 0 THEN 'region' ELSE 'name' END AS reason, count(*)::BIGINT AS n FROM (SELECT *, n_regionkey <> 0 AND n_name NOT LIKE 'U%' AS nation_ok FROM nation) GROUP BY 1""")
-def geography_backstop(t: Tables) -> DataFrame:
-    """Keep or refuse by place, with the reason."""
-    ok = (F.col("n_regionkey") != 0) & ~F.col("n_name").like("U%")
-    return t.nation.groupBy(F.when(ok, "kept").when(F.col("n_regionkey") == 0, "region").otherwise("name").alias("reason")).agg(F.count("*").alias("n"))
-
-
 @query("""SELECT o_orderkey, CASE WHEN lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) IS NULL THEN 'open' ELSE 'closed' END AS state FROM orders""")
 def latest_is_open(t: Tables) -> DataFrame:
     """Only the latest row of a key is open."""

@@ -37,6 +37,16 @@ class Tables:
 
         return read_table(self._spark, self._dir, name)
 
+    def sql(self, text: str, *names: str) -> DataFrame:
+        """Rows of a SQL text over some of the tables, for inputs that both engines make alike."""
+        for name in names:
+            getattr(self, name).createOrReplaceTempView(name)
+        return self._spark.sql(text)
+
+    @property
+    def spark(self) -> SparkSession:
+        return self._spark
+
     def inline(self, rows: list[tuple], schema: str) -> DataFrame:
         return self._spark.createDataFrame(rows, schema)
 

@@ -12,6 +12,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_ROOT: list[str] = []
 _WRITTEN: dict[str, SparkSession] = {}
@@ -58,6 +59,17 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def settled(df: DataFrame, made: list[str]) -> DataFrame:
+    """The same columns, with ``made`` behind a generator of one row.
+
+    The optimizer puts expressions in place of the names of columns that later projections
+    read, once for each reading; it does not move them over a generator.
+    """
+    rest = [c for c in df.columns if c not in made]
+    kept = df.select(*rest, F.explode(F.array(F.struct(*made))).alias("_settled"))
+    return kept.select(*[F.col(c) if c in rest else F.col(f"_settled.{c}").alias(c) for c in df.columns])
+
+
 def discard(df: DataFrame) -> None:
     """Delete the table behind a frame made by :func:`cut`."""
     path = getattr(df, "_scratch_path", None)
