@@ -32,6 +32,11 @@ def truthy(c: Column) -> Column:
     return F.lower(F.trim(text(c))).isin("1", "true", "yes", "y")
 
 
+def truthy_plain(c: Column) -> Column:
+    """As :func:`truthy`, without the short form."""
+    return F.lower(text(c)).isin("true", "1", "yes")
+
+
 def finite(c: Column) -> Column:
     """NaN and infinities as null."""
     return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)

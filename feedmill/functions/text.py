@@ -106,6 +106,11 @@ def parsed_text(c: Column) -> Column:
     return F.arrow_udf(run, "string")(c.cast("string"))
 
 
+def parsed_or_plain(c: Column) -> Column:
+    """Readable text of a description; null for none and for placeholders."""
+    return placeholder_to_null(unescape(F.regexp_replace(unescape(text(c)), "<[^>]+>", "")))
+
+
 #: The entities that page text decodes, in order (fixed values).
 PAGE_ENTITIES = (("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"))
 
