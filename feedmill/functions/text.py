@@ -126,12 +126,12 @@ def page_text(c: Column) -> Column:
 
 def vendor_text(c: Column) -> Column:
     """Tags to spaces and no-break entities to spaces; inner white space stays."""
-    return F.trim(F.replace(F.regexp_replace(text(c), "<[^>]+>", " "), F.lit("&nbsp;"), F.lit(" ")))
+    return F.regexp_replace(F.replace(F.regexp_replace(text(c), "<[^>]+>", " "), F.lit("&nbsp;"), F.lit(" ")), r"^\s+|\s+$", "")
 
 
 def bare_text(c: Column) -> Column:
     """Tags to spaces and nothing else."""
-    return F.trim(F.regexp_replace(text(c), "<[^>]+>", " "))
+    return F.regexp_replace(F.regexp_replace(text(c), "<[^>]+>", " "), r"^\s+|\s+$", "")
 
 
 def placeholder_to_null(c: Column) -> Column:

@@ -51,68 +51,6 @@ def readable_text(t: Tables) -> DataFrame:
     return t.pages.select("page_id", T.html_text(F.col("html")).alias("text"))
 
 
-LD = [
-    (1, '<script type="application/ld+json">{"@type":"JobPosting","title":"Intern","hiringOrganization":{"name":"Acme"},"jobLocation":{"address":{"addressLocality":"Austin","addressRegion":"TX","addressCountry":"US"}},"datePosted":"2024-01-02","baseSalary":{"currency":"USD","value":{"minValue":20,"maxValue":"30"}},"description":"<p>Hi &amp; bye</p>"}</script>'),
-    (2, '<script type="application/ld+json">{"@graph":[{"@type":"WebSite"},{"@type":"JobPosting","title":"Analyst","hiringOrganization":{"name":"Beta"},"jobLocation":[{"address":{"addressLocality":"Oslo","addressRegion":"O","addressCountry":"NO"}}],"jobLocationType":"TELECOMMUTE"}]}</script>'),
-    (3, '<script type="application/ld+json">not json</script>'), (4, "<p>nothing</p>"),
-]
-
-
-@query("""
-SELECT 1 AS id, 'Intern' AS role, 'Acme' AS company, 'Austin, TX' AS location, 'US' AS country, '2024-01-02' AS date, 20.0::DOUBLE AS salary_min, 30.0::DOUBLE AS salary_max, 'USD' AS salary_currency, false AS is_remote, 'Hi & bye' AS description
-UNION ALL SELECT 2, 'Analyst', 'Beta', 'Oslo, O', 'NO', NULL, NULL, NULL, NULL, true, ''""")
-def jsonld_fields(t: Tables) -> DataFrame:
-    return P.json_ld(t.inline(LD, "id int, html string"))
-
-
-RSS = [
-    (1, "<rss><channel><item><title>Acme: Intern</title><link>https://a.example/1</link><pubDate>Fri, 05 Jan 2024 10:11:12 GMT</pubDate><description><![CDATA[<b>Good</b> job]]></description></item><item><title>Two &amp; three</title><link>https://a.example/2</link></item></channel></rss>"),
-    (2, '<feed><entry><title>Atom: Role</title><link href="https://b.example/9"/><updated>2024-01-05T00:00:00Z</updated><summary>s</summary></entry></feed>'), (3, "<rss></rss>"),
-]
-
-
-@query("""
-SELECT * FROM (VALUES (1, 0, 'Acme: Intern', 'https://a.example/1', 'Fri, 05 Jan 2024 10:11:12 GMT', 'Good job', 'Acme', 'Intern'), (1, 1, 'Two & three', 'https://a.example/2', '', '', '', 'Two & three'),
- (2, 0, 'Atom: Role', 'https://b.example/9', '2024-01-05T00:00:00Z', 's', 'Atom', 'Role')) t(id, place, title, link, published, description, company, role)""")
-def feed_items(t: Tables) -> DataFrame:
-    company, role = T.company_role(F.col("title"))
-    return P.feed_items(t.inline(RSS, "id int, xml string")).withColumns({"company": company, "role": role})
-
-
-MD = [(1, "# Jobs\n| Company | Role | Location | Application | Age |\n| --- | :--- | --- | --- | ---: |\n| **[Acme](https://acme.example)** | Intern | Austin<br>Oslo | [Apply](https://x.example/1) | 2d |\n| ↳ | Co-op | Remote | <a href=\"https://y.example/2\">go</a> | 3mo |\n\ntext\n| Position | Company |\n|---|---|\n| Chef | Beta |")]
-
-
-@query("""
-SELECT * FROM (VALUES (1, 1, 3, 'Acme', 'Intern', 'Austin, Oslo', 'https://x.example/1', '2d'), (1, 1, 4, 'Acme', 'Co-op', 'Remote', 'https://y.example/2', '3mo'), (1, 2, 9, 'Beta', 'Chef', '', '', ''))
- t(id, table_no, line_no, company, role, location, link, date)""")
-def markdown_rows(t: Tables) -> DataFrame:
-    return P.markdown_rows(t.inline(MD, "id int, md string")).withColumn("table_no", F.col("table_no").cast("int"))
-
-
-TABLES = [(1, "<table><tr><th>Employer</th><th>Title</th></tr><tr><td>Acme &amp; Co</td><td><a href='x'>Dev</a></td></tr></table><p>x</p><table><tr><td>1</td></tr></table>")]
-
-
-@query("SELECT * FROM (VALUES (1, 0, 0, 0, 'Employer'), (1, 0, 0, 1, 'Title'), (1, 0, 1, 0, 'Acme & Co'), (1, 0, 1, 1, 'Dev'), (1, 1, 0, 0, '1')) t(id, table_no, row_no, col_no, cell)")
-def html_tables(t: Tables) -> DataFrame:
-    return P.html_tables(t.inline(TABLES, "id int, html string"))
-
-
-JSONS = [(1, '{"jobs":[{"company":"A","title":"T","url":"u1"},{"company":"B","role":"R","link":"l2","location":"X"}]}'), (2, '[{"company":"C","title":"U","url":"u3","date_posted":"2024-01-01"}]'), (3, "[]")]
-
-
-@query("SELECT * FROM (VALUES (1, 'A', 'T', NULL, 'u1', NULL), (1, 'B', 'R', 'X', 'l2', NULL), (2, 'C', 'U', NULL, 'u3', '2024-01-01')) t(id, company, role, location, link, date)")
-def json_lists(t: Tables) -> DataFrame:
-    return P.json_list(t.inline(JSONS, "id int, json string"))
-
-
-CSVS = [(1, 'company,role,link\n# note\nAcme,"Dev, senior",https://a\nBeta,Ops,\n')]
-
-
-@query("SELECT * FROM (VALUES (1, 2, 'Acme', 'Dev, senior', 'https://a'), (1, 3, 'Beta', 'Ops', NULL)) t(id, line_no, company, role, link)")
-def csv_lists(t: Tables) -> DataFrame:
-    return P.csv_rows(t.inline(CSVS, "id int, csv string"))
-
-
 MAPS = [
     ("root", "<sitemapindex><sitemap><loc>a</loc></sitemap><sitemap><loc> b </loc></sitemap></sitemapindex>"), ("a", "<urlset><url><loc>p1</loc></url><url><loc>p2</loc></url></urlset>"),
     ("b", "<sitemapindex><sitemap><loc>c</loc></sitemap></sitemapindex>"), ("c", "<urlset><url><loc>p3</loc></url><url><loc>p1</loc></url></urlset>"), ("d", "<urlset><url><loc>p9</loc></url></urlset>"),
@@ -124,11 +62,3 @@ WITH RECURSIVE m AS (SELECT loc, contains(xml, '<sitemapindex') AS idx, unnest(r
 w AS (SELECT 'root' AS loc UNION SELECT m.child FROM w JOIN m ON m.loc = w.loc WHERE m.idx) SELECT DISTINCT m.child AS loc FROM w JOIN m ON m.loc = w.loc WHERE NOT m.idx""")
 def sitemap_walk(t: Tables) -> DataFrame:
     return P.sitemap_walk(t.inline(MAPS, "loc string, xml string"), "root")
-
-
-PAYLOADS = [(1, 'push("{\\"jobs\\":[{\\"t\\":\\"a]b\\"},[1,2]],\\"x\\":1}")'), (2, "none"), (3, None)]
-
-
-@query("""SELECT * FROM (VALUES (1, '[{"t":"a]b"},[1,2]]'), (2, ''), (3, '')) t(id, payload)""")
-def embedded_payload(t: Tables) -> DataFrame:
-    return P.embedded_arrays(t.inline(PAYLOADS, "id int, html string"), "jobs")

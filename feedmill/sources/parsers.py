@@ -6,20 +6,14 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedmill.functions import money as M
 from feedmill.functions import text as X
 
-#: Headings of list tables and the fields they mean (fixed values).
-HEADER_ALIASES = {
-    "company": "company", "role": "role", "position": "role", "title": "role", "location": "location", "locations": "location",
-    "application": "link", "application/link": "link", "posting": "link", "apply": "link", "apply link": "link", "link": "link", "referral": "link",
-    "age": "date", "posted": "date", "added": "date", "date": "date", "date posted": "date", "posted at": "date", "posting date": "date",
-}
-TABLE_FIELDS = ("company", "role", "location", "link", "date")
+LD_DEPTH = 4
 
 
 def title_of(html: Column) -> Column:
@@ -39,7 +33,7 @@ def list_items(df: DataFrame, html: str = "html") -> DataFrame:
 
 
 def json_ld(df: DataFrame, html: str = "html", kind: str = "JobPosting") -> DataFrame:
-    """Postings of a page's JSON-LD: objects and lists of them, @graph, mainEntity and itemListElement, two levels deep."""
+    """Postings of a page's JSON-LD: objects and lists of them, @graph, mainEntity and itemListElement, LD_DEPTH levels deep."""
     blocks = F.regexp_extract_all(X.text(F.col(html)), F.lit(r"""(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"""), 1)
     rows = df.select(*[c for c in df.columns if c != html], F.explode(blocks).alias("_j")).withColumn("_v", F.try_parse_json("_j")).filter("_v is not null")
     rest = [c for c in rows.columns if c not in ("_j", "_v")]
@@ -55,10 +49,12 @@ def json_ld(df: DataFrame, html: str = "html", kind: str = "JobPosting") -> Data
         )
         return many.select(*rest, F.explode(inner).alias("_v")).filter("_v is not null")
 
-    nodes = spread(spread(rows))
+    nodes = rows
+    for _ in range(LD_DEPTH):
+        nodes = spread(nodes)
     at = lambda p, kind_="string": F.expr(f"try_variant_get(_v, '{p}', '{kind_}')")
     first = lambda *ps: F.coalesce(*[at(p) for p in ps])
-    typed = nodes.withColumn("_t", F.coalesce(at('$["@type"]'), at('$["@type"][0]'))).filter(F.col("_t") == kind)
+    typed = nodes.withColumn("_t", F.coalesce(at('$["@type"][0]'), at('$["@type"]'))).filter(F.col("_t") == kind)
     return typed.select(
         *rest, X.placeholder_to_null(at("$.title")).alias("role"), first("$.hiringOrganization.name", "$.hiringOrganization[0].name", "$.hiringOrganization").alias("company"),
         F.concat_ws(
@@ -102,56 +98,6 @@ def cell_link(c: Column) -> Column:
     )
 
 
-def markdown_rows(df: DataFrame, md: str = "md") -> DataFrame:
-    """Rows of pipe tables by named fields; a blank or arrow-marked company takes the one above.
-
-    A table is a run of lines that begin with a bar, its first line the header; rows of
-    dashes are rules.  Windows run within a document.
-    """
-    rest = [c for c in df.columns if c != md]
-    doc = df.withColumn("_doc", F.monotonically_increasing_id())
-    lines = doc.select(*rest, "_doc", F.posexplode(F.split(X.text(F.col(md)), r"\r?\n")).alias("line_no", "_l")).withColumn("_bar", F.ltrim("_l").startswith("|"))
-    w = Window.partitionBy("_doc").orderBy("line_no")
-    begins = F.col("_bar") & ~F.coalesce(F.lag("_bar").over(w), F.lit(False))
-    tabled = lines.withColumn("_head", begins).withColumn("table_no", F.sum(F.col("_head").cast("int")).over(w)).filter("_bar")
-    cells = F.transform(F.split(F.regexp_replace(F.trim("_l"), r"^\|+|\|+$", ""), r"\|"), lambda c: F.trim(c))
-    tabled = tabled.withColumn("_c", cells)
-    known = F.create_map(*[F.lit(x) for kv in HEADER_ALIASES.items() for x in kv])
-    named = F.transform("_c", lambda c: known[F.lower(F.trim(F.substring_index(F.regexp_replace(X.strip_tags(c), r"^\*+|\*+$", ""), "(", 1)))])
-    heads = tabled.filter("_head").select("_doc", "table_no", named.alias("_names"))
-    rows = tabled.filter("not _head").filter(~F.forall("_c", lambda c: F.replace(c, F.lit(" ")).rlike("^:?-{2,}:?$"))).join(heads, ["_doc", "table_no"])
-
-    def cell(name: str) -> Column:
-        at = F.array_position("_names", name)
-        return F.when(at > 0, F.coalesce(F.get("_c", (at - 1).cast("int")), F.lit(""))).otherwise("")
-
-    out = rows.select(*rest, "_doc", "table_no", "line_no", *[cell(f).alias(f) for f in TABLE_FIELDS])
-    shown = F.trim(F.regexp_replace(X.strip_tags(F.col("company")), r"\*\*|\[([^\]]*)\]\([^)]*\)", "$1"))
-    out = out.withColumns({"company": shown, "role": X.strip_tags(F.col("role")), "location": X.strip_tags(F.regexp_replace("location", r"(?i)<br\s*/?>", ", ")), "link": cell_link(F.col("link")), "date": X.strip_tags(F.col("date"))})
-    above = Window.partitionBy("_doc", "table_no").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    real = F.when(~F.col("company").isin("", "↳"), F.col("company"))
-    return out.withColumn("company", F.last(real, True).over(above)).drop("_doc")
-
-
-JOB = "company string, title string, role string, location string, url string, link string, date_posted string"
-
-
-def json_list(df: DataFrame, body: str = "json") -> DataFrame:
-    """Rows of a JSON list, bare or under ``jobs``."""
-    bare, wrapped = F.from_json(F.col(body), f"array<struct<{JOB.replace(' string', ':string')}>>"), F.from_json(F.col(body), f"struct<jobs:array<struct<{JOB.replace(' string', ':string')}>>>")
-    rest = [c for c in df.columns if c != body]
-    listed = F.when(F.ltrim(F.col(body)).startswith("["), bare).otherwise(wrapped["jobs"])
-    rows = df.select(*rest, F.explode(listed).alias("j"))
-    return rows.select(*rest, "j.company", F.coalesce("j.title", "j.role").alias("role"), "j.location", F.coalesce("j.url", "j.link").alias("link"), F.col("j.date_posted").alias("date"))
-
-
-def csv_rows(df: DataFrame, body: str = "csv", columns: str = "company string, role string, link string") -> DataFrame:
-    """Rows of a CSV text without its header; lines that begin with # are comments."""
-    rest = [c for c in df.columns if c != body]
-    lines = df.select(*rest, F.posexplode(F.split(X.text(F.col(body)), r"\r?\n")).alias("line_no", "_l")).filter("line_no > 0 and trim(_l) <> '' and not startswith(_l, '#')")
-    return lines.select(*rest, "line_no", F.from_csv("_l", columns).alias("r")).select(*rest, "line_no", "r.*")
-
-
 def sitemap_locs(df: DataFrame, xml: str = "xml") -> DataFrame:
     locs = F.regexp_extract_all(X.text(F.col(xml)), F.lit(r"(?is)<loc>\s*(.*?)\s*</loc>"), 1)
     return df.select(*[c for c in df.columns if c != xml], F.col(xml).rlike("(?i)<sitemapindex").alias("is_index"), F.explode(locs).alias("loc"))
