@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,12 +59,32 @@ def known_rows(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(marks, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left_semi")
 
 
+#: Undecided rows that one task may hold: three short values each.
+FOLDED = 200_000
+
+
+def _first_fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (_o, _a, _b) in order the rows whose keys no earlier kept row has."""
+    a_seen: set[str] = set()
+    b_seen: set[str] = set()
+    for batch in batches:
+        ok = []
+        for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            free = (a is None or a not in a_seen) and (b is None or b not in b_seen)
+            ok.append(free)
+            if free:
+                a_seen.add(a)
+                b_seen.add(b)
+        yield batch.filter(pa.array(ok, pa.bool_())).select(["_o"])
+
+
 def either_key(df: DataFrame, first: str, second: str, ordinal: str) -> DataFrame:
     """Greedy first-fit: in order of ``ordinal`` a row stays unless one that stayed has its first or second key.
 
     Rows without a key stay; a dropped row registers none.  Each round decides every row
     that is the earliest undecided one of all its keys and drops those that meet its keys,
-    so rounds grow with the longest chain of rows that block one another.
+    so rounds grow with the longest chain of rows that block one another; the last
+    ``FOLDED`` undecided rows are folded in order by one task.
     """
     blank = lambda c: F.when(T.text(F.col(c)) != "", T.text(F.col(c)))
     base = df.select(F.col(ordinal).alias("_o"), blank(first).alias("_a"), blank(second).alias("_b"))
@@ -75,7 +98,7 @@ def either_key(df: DataFrame, first: str, second: str, ordinal: str) -> DataFram
     kept = lone.unionByName(marked.filter("_na = 1 and _nb = 1").select("_o"))
     open_ = cut(marked.filter("_na > 1 or _nb > 1").select("_o", "_a", "_b"))
     done = []
-    while open_.take(1):
+    while (left := open_.count()) > FOLDED:
         low_a = open_.filter("_a is not null").groupBy("_a").agg(F.min("_o").alias("_la"))
         low_b = open_.filter("_b is not null").groupBy("_b").agg(F.min("_o").alias("_lb"))
         seen = open_.join(low_a, "_a", "left").join(low_b, "_b", "left")
@@ -90,6 +113,8 @@ def either_key(df: DataFrame, first: str, second: str, ordinal: str) -> DataFram
         open_ = after
     for win in done:
         kept = kept.unionByName(win.select("_o"))
+    if left:
+        kept = kept.unionByName(cut(open_.coalesce(1).sortWithinPartitions("_o").mapInArrow(_first_fit, f"_o {open_.schema['_o'].dataType.simpleString()}")))
     return df.join(kept, df[ordinal] == kept["_o"], "left_semi")
 
 

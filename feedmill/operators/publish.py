@@ -10,6 +10,7 @@ from feedmill.functions import dates as D
 from feedmill.functions import text as T
 from feedmill.functions import url as U
 from feedmill.operators.dedup import either_key, filled_identity
+from feedmill.operators.order import numbered
 from feedmill.runtime import cut
 
 
@@ -90,18 +91,18 @@ def field_fill(df: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def shard_number(df: DataFrame, order: list[Column], rows: int) -> DataFrame:
-    """Adds ``shard``: blocks of ``rows`` rows in order, numbered from 0 by counts of ranges, without one global window."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = cut(df.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id()))
-    sizes = dealt.groupBy("_p").agg(F.count("*").alias("_n"))
-    base = sizes.withColumn("_base", F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).select("_p", "_base")
-    inside = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
-    return dealt.withColumn("_i", inside).join(F.broadcast(base), "_p").withColumn("shard", F.floor((F.col("_base") + F.col("_i") - 1) / rows)).drop("_p", "_i", "_base")
+    """Adds ``shard``: blocks of ``rows`` rows in order, numbered from 0, without one global window."""
+    return numbered(df, order, "_i").withColumn("shard", F.floor(F.col("_i") / rows)).drop("_i")
 
 
 def pack_pages(df: DataFrame, group: str, order: list[str], size: str, budget: int) -> DataFrame:
-    """Adds ``page``: rows in order fill a page until the next would pass ``budget``; counted for each group."""
-    schema = StructType([*df.schema.fields, StructField("page", LongType())])
+    """Adds ``page``: rows in order fill a page until the next would pass ``budget``; counted for each group.
+
+    Where a page ends depends on where it began, so a group is folded in order; only the
+    order's columns and the size go to that fold, and the pages join the rows again.
+    """
+    light = df.select(group, *order, size)
+    schema = StructType([*light.schema.fields, StructField("page", LongType())])
 
     def pack(part):
         part = part.sort_values(order, kind="stable")
@@ -113,4 +114,21 @@ def pack_pages(df: DataFrame, group: str, order: list[str], size: str, budget: i
             out.append(page)
         return part.assign(page=out)
 
-    return df.groupBy(group).applyInPandas(pack, schema)
+    packed = light.groupBy(group).applyInPandas(pack, schema).drop(size)
+    names = [group, *order]
+    on = [df[c].eqNullSafe(packed[c]) for c in names]
+    return df.join(packed, on).select(*[df[c] for c in df.columns], packed["page"])
+
+
+def coverage_with_families(df: DataFrame, primary: str, extras: str) -> DataFrame:
+    """(family, total) of rows counted once in their primary family and once in each further one."""
+    every = F.concat(F.array(F.coalesce(F.col(primary), F.lit("Other Professional"))), F.slice(F.coalesce(extras, F.array().cast("array<string>")), 2, 1 << 20))
+    return df.select(F.explode(every).alias("family")).groupBy("family").agg(F.count("*").alias("total"))
+
+
+def shard_fill(df: DataFrame, fields: list[str]) -> DataFrame:
+    """(field, filled, pct) as shards count it: any text but white space, placeholders too; null and false are not filled."""
+    given = lambda f: F.trim(T.text(F.col(f))) != ""
+    one = df.agg(F.count("*").alias("_n"), *[F.count_if(given(f)).alias(f) for f in fields])
+    rows = one.select("_n", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("filled")) for f in fields])).alias("x"))
+    return rows.select("x.field", "x.filled", F.round(100.0 * F.col("x.filled") / F.greatest("_n", F.lit(1)), 2).alias("pct"))

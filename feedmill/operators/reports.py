@@ -107,7 +107,68 @@ def feed_diff(old: DataFrame, new: DataFrame, key: str, group: str) -> DataFrame
     )
 
 
-def run_stats(runs: DataFrame, source: str, ordinal: str, sums: list[str], status: str) -> DataFrame:
-    """Sums of a run's parts; the status is the last that is not ok."""
+def run_stats(runs: DataFrame, source: str, ordinal: str, sums: list[str], status: str, notes: str | None = None) -> DataFrame:
+    """Sums of a run's parts; the status is the last that is not ok, notes are listed in order."""
     bad = F.col(status) != "ok"
-    return runs.groupBy(source).agg(*[F.sum(c).alias(c) for c in sums], F.coalesce(F.max_by(F.when(bad, F.col(status)), F.when(bad, F.col(ordinal))), F.lit("ok")).alias(status))
+    more = [] if notes is None else [F.transform(F.array_sort(F.collect_list(F.when(T.text(F.col(notes)) != "", F.struct(F.col(ordinal), F.col(notes))))), lambda x: x[notes]).alias(notes)]
+    return runs.groupBy(source).agg(*[F.sum(c).alias(c) for c in sums], F.coalesce(F.max_by(F.when(bad, F.col(status)), F.when(bad, F.col(ordinal))), F.lit("ok")).alias(status), *more)
+
+
+def ranked_percentiles(df: DataFrame, group: str, value: str, shares: dict[str, float]) -> DataFrame:
+    """Exact nearest-rank percentiles of each group: values are counted first, so a window holds a group's different values."""
+    counted = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(group)
+    upto = counted.withColumns({"_upto": F.sum("_n").over(w.orderBy(value)), "_all": F.sum("_n").over(w)})
+    at = lambda q: F.min(F.when(F.col("_upto") >= F.greatest(F.ceil(F.col("_all") * q), F.lit(1)), F.col(value)))
+    return upto.groupBy(group).agg(*[at(q).alias(name) for name, q in shares.items()])
+
+
+def source_yield(df: DataFrame, source: str, link: str) -> DataFrame:
+    """(source, rows, distinct, sole): distinct links of each source, and those that no other source has."""
+    linked = df.filter(T.text(F.col(link)) != "").select(source, link).distinct()
+    owners = linked.groupBy(link).agg(F.count("*").alias("_owners"))
+    found = linked.join(owners, link).groupBy(source).agg(F.count("*").alias("distinct"), F.count_if(F.col("_owners") == 1).alias("sole"))
+    rows = df.groupBy(source).agg(F.count("*").alias("rows"))
+    return rows.join(found, source, "left").select(source, "rows", F.coalesce("distinct", F.lit(0)).alias("distinct"), F.coalesce("sole", F.lit(0)).alias("sole"))
+
+
+def health(stats: DataFrame) -> DataFrame:
+    """(source, new, rows, status, failing, quiet_hours) -> share of what is new, alert kinds, and whether the run is healthy, a row a source."""
+    total = F.greatest(F.sum("new").over(Window.partitionBy(F.lit(1))), F.lit(1))
+    alerts = F.array_compact(F.array(F.when(F.col("failing"), "failing"), F.when(F.col("quiet_hours").isNotNull(), "quiet"), F.when(F.col("status") != "ok", "degraded")))
+    any_failing = F.bool_or("failing").over(Window.partitionBy(F.lit(1)))
+    return stats.select("source", "new", "rows", F.round(100.0 * F.col("new") / total, 2).alias("share_of_new_pct"), alerts.alias("alerts"), (~any_failing).alias("healthy"))
+
+
+def known_by(rows: DataFrame, feed: DataFrame, link: str, key: str, ordinal: str) -> DataFrame:
+    """Rows of a batch with how the feed knows them: duplicate inside the batch, link, key or new; the batch's first of a link or key counts."""
+    from feedmill.operators.dedup import either_key
+
+    first = either_key(rows, link, key, ordinal).select(F.col(ordinal).alias("_o")).withColumn("_first", F.lit(True))
+    links = feed.select(F.col(link).alias("_l")).filter("_l <> ''").distinct().withColumn("_by_link", F.lit(True))
+    keys = feed.select(F.col(key).alias("_k")).filter("_k <> ''").distinct().withColumn("_by_key", F.lit(True))
+    joined = rows.join(first, F.col(ordinal) == F.col("_o"), "left").join(links, F.col(link) == F.col("_l"), "left").join(keys, F.col(key) == F.col("_k"), "left")
+    matched = F.when(F.col("_first").isNull(), "duplicate").when(F.col("_by_link"), "link").when(F.col("_by_key"), "key").otherwise("new")
+    return joined.withColumn("matched", matched).drop("_o", "_first", "_l", "_by_link", "_k", "_by_key")
+
+
+def sponsor_totals(years: DataFrame) -> DataFrame:
+    """(Employer, Initial Approval, Continuing Approval) texts of several years -> name, approvals by normalised employer; rows without a positive total don't count."""
+    whole = lambda c: F.coalesce(F.nullif(F.trim(T.text(F.col(c))), F.lit("")), F.lit("0")).try_cast("int")
+    total = F.coalesce(whole("Initial Approval") + whole("Continuing Approval"), F.lit(0))
+    rows = years.select(T.sponsor_key(F.col("Employer")).alias("name"), total.alias("n")).filter("name <> '' and n > 0")
+    return rows.groupBy("name").agg(F.sum("n").alias("approvals"))
+
+
+def filings(pages: DataFrame, top: int = 20) -> DataFrame:
+    """(key, html) of filings -> key, title, n, median_salary, place: the commonest titles with the whole median of their salaries.
+
+    Rows are table rows of three cells and more; a median of two is cut to a whole number.
+    """
+    rows = pages.select("key", F.explode(F.regexp_extract_all(T.text(F.col("html")), F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), 1)).alias("r"))
+    cells = F.transform(F.regexp_extract_all("r", F.lit(r"(?s)<td[^>]*>(.*?)</td>"), 1), lambda c: F.regexp_replace(F.regexp_replace(c, "<[^>]+>", ""), r"^\s+|\s+$", ""))
+    rows = rows.withColumn("c", cells).filter(F.size("c") >= 3).withColumn("t", T.squeeze(F.get("c", F.lit(1)))).filter("t <> '' and lower(t) <> 'job title'")
+    salary = F.nullif(F.regexp_replace(F.get("c", F.lit(2)), "[^0-9]", ""), F.lit("")).try_cast("long")
+    titles = rows.select("key", F.upper("t").alias("title"), F.nullif(salary, F.lit(0)).alias("salary")).groupBy("key", "title").agg(F.count("*").alias("n"), F.floor(F.median("salary")).cast("long").alias("median_salary"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("n"), "title"))
+    return titles.withColumn("place", place.cast("long")).filter(F.col("place") <= top)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.functions import dates as D
 from feedmill.functions import money as M
 from feedmill.functions import text as T
+from feedmill.functions import url as U
+from feedmill.operators.order import numbered
 
 
 def text_match(query: str, fields: list[str]) -> Column:
@@ -71,9 +73,10 @@ def top_n(df: DataFrame, column: str, n: int, ordinal: str) -> DataFrame:
 
 
 def rotate(df: DataFrame, order: list[Column], start: int, cap: int) -> DataFrame:
-    """``cap`` rows of a ring that begins at ``start``; the window is over the rows up for rotation."""
-    ring = df.withColumn("_i", F.row_number().over(Window.orderBy(*order)) - 1).withColumn("_n", F.count("*").over(Window.partitionBy(F.lit(1))))
-    return ring.filter(F.pmod(F.col("_i") - start, F.col("_n")) < cap).drop("_i", "_n")
+    """``cap`` rows of a ring that begins at ``start``."""
+    ring = numbered(df, order, "_i")
+    n = ring.count()
+    return ring.filter(F.pmod(F.col("_i") - start, F.lit(max(1, n))) < cap).drop("_i")
 
 
 def brief(df: DataFrame) -> DataFrame:
@@ -84,3 +87,41 @@ def brief(df: DataFrame) -> DataFrame:
         M.truthy(F.col("is_remote")).alias("is_remote"), M.number(F.col("salary_min")).alias("salary_min"), M.number(F.col("salary_max")).alias("salary_max"),
         F.when(shown != "", F.substring(shown, 1, 400)).alias("description"), F.when(F.length(shown) > 400, F.lit(True)).alias("description_truncated"),
     )
+
+
+DETAIL_TEXTS = (
+    "company", "role", "location", "date", "link", "source", "category", "job_type", "career_family", "industry", "career_reason", "seniority", "employment_type",
+    "country_iso", "ats_type", "ats_id", "salary_currency", "source_posted_at", "verification_status", "first_seen_at", "last_seen_at", "last_verified_at",
+    "verified_at", "observed_at", "closed_at",
+)
+
+
+def detail(df: DataFrame, *keep: str) -> DataFrame:
+    """Everything that a posting has, blanks as null, flags and numbers as such, the description whole; ``keep`` names columns that stay as they are."""
+    has = lambda c: c in df.columns
+    texts = [F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in DETAIL_TEXTS if has(c)]
+    flags = [M.truthy(F.col(c)).alias(c) if has(c) else F.lit(False).alias(c) for c in ("is_remote", "direct_apply", "visa_sponsor")]
+    amounts = [M.number(F.col(c)).alias(c) for c in ("salary_min", "salary_max", "visa_median_salary") if has(c)]
+    shown = F.trim(T.text(F.col("description")))
+    return df.select(*keep, U.serving_id(F.col("ats_type"), F.col("ats_id"), F.col("link")).alias("id"), *texts, *flags, *amounts, shown.alias("description"), F.length(shown).alias("description_chars"))
+
+
+class Feed:
+    """The published feed for serving: read again only when its key changes, looked at once in ``every`` seconds."""
+
+    def __init__(self, load, key, clock, every: float = 30.0) -> None:
+        self._load, self._key, self._clock, self._every = load, key, clock, every
+        self._held = self._seen = None
+        self._at = float("-inf")
+
+    def rows(self) -> DataFrame:
+        now = self._clock()
+        if self._held is not None and now - self._at < self._every:
+            return self._held
+        key, self._at = self._key(), now
+        if self._held is None or key is not None and key != self._seen:
+            fresh = self._load().cache()
+            if self._held is not None:
+                self._held.unpersist()
+            self._held, self._seen = fresh, key
+        return self._held

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedmill.functions import dates as D
 from feedmill.functions import geo as G
 from feedmill.functions import text as T
 from feedmill.functions import url as U
@@ -77,3 +78,46 @@ def last_of(df: DataFrame, keys: list[str], order: list[Column], n: int) -> Data
     """Last ``n`` rows of each key."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+
+
+#: Sources and their classes (fixed values).
+CLASS_OF = {
+    "heavy": "direct_ats", "ats_new": "direct_ats", "priority": "priority_ats", "jobhive": "jobhive", "light": "markdown", "breadth": "aggregators", "medium": "aggregators",
+    "rss": "specialty", "ecr": "specialty",
+}
+
+
+def sidecars(df: DataFrame, now: Column, classes: dict[str, str] = CLASS_OF, ttl_hours: dict[str, int] = TTL_HOURS) -> DataFrame:
+    """(file_source, source, status, provenance, rows, fetched_at) -> with what follows from them.
+
+    The file's name is the identity: a record that names another source is not trusted.  A
+    record of before provenance was kept counts as a fetch if its status says so.  Class and
+    time to live are policy, whatever an old record says.
+    """
+    named = F.coalesce(F.nullif("source", F.lit("")), F.col("file_source"))
+    kind = F.create_map(*[F.lit(x) for pair in classes.items() for x in pair])[F.col("file_source")]
+    ttl = F.create_map(*[F.lit(x) for c, h in ttl_hours.items() for x in (c, float(h))])
+    legacy = F.col("provenance").isNull() & F.coalesce(F.col("status").isin("ok", "ok:recovered"), F.lit(False))
+    rows = df.withColumns({
+        "known": kind.isNotNull(), "class": F.coalesce(kind, F.lit("specialty")), "source_match": named == F.col("file_source"), "provenance_legacy": legacy,
+        "provenance": F.when(legacy, "fetch").otherwise(F.col("provenance")), "age_hours": D.hours_old(F.col("fetched_at").cast("timestamp"), now), "seeded": F.coalesce(F.col("status") == "seeded", F.lit(False)),
+    }).withColumn("ttl_hours", ttl[F.col("class")])
+    rows = rows.withColumn("provenance_ok", F.coalesce(F.col("source_match") & F.col("known") & (F.col("provenance") == "fetch"), F.lit(False)))
+    fresh, able = servable(F.col("status"), F.col("provenance"), F.col("rows"), F.col("age_hours"), F.col("ttl_hours"))
+    return rows.withColumns({"fresh": F.col("provenance_ok") & fresh, "servable": F.col("provenance_ok") & able})
+
+
+def sidecar_report(judged: DataFrame, expected: tuple[str, ...], optional: tuple[str, ...] = ()) -> DataFrame:
+    """One row of name lists: missing, unexpected, fresh, expired, empty, rejected, invalid, seeded, legacy, serving_previous, and the rows behind them."""
+    status = T.text(F.col("status"))
+    names = lambda cond: F.array_sort(F.collect_set(F.when(cond, F.col("file_source"))))
+    one = judged.agg(
+        F.array_sort(F.collect_set("file_source")).alias("have"), names(F.col("fresh")).alias("fresh"), names(~F.col("fresh") & (status != "empty") & ~status.startswith("rejected:")).alias("expired"),
+        names(status == "empty").alias("empty"), names(status.startswith("rejected")).alias("rejected"), names(~F.col("provenance_ok")).alias("invalid"), names(F.col("seeded")).alias("seeded"),
+        names(F.col("provenance_legacy")).alias("legacy_provenance"), names(F.col("servable") & ~F.col("fresh")).alias("serving_previous"),
+        F.sum(F.when(F.col("fresh"), F.col("rows")).otherwise(0)).cast("long").alias("rows_fresh"), F.sum(F.when(F.col("servable"), F.col("rows")).otherwise(0)).cast("long").alias("rows_eligible"),
+    )
+    listed = lambda names_: F.array(*[F.lit(n) for n in names_]) if names_ else F.array().cast("array<string>")
+    return one.withColumns({
+        "missing": F.array_sort(F.array_except(listed(expected), "have")), "unexpected": F.array_sort(F.array_except("have", listed((*expected, *optional)))),
+    }).drop("have")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmill.plans import documents, extras, feeds, lists, postings, rules, scalars, serving, stateful  # noqa: F401  (they register)
+from feedmill.plans import documents, extras, feeds, lists, postings, publication, rules, scalars, serving, stateful, storage  # noqa: F401  (they register)
 from feedmill.plans.registry import ORACLES, QUERIES
 
 

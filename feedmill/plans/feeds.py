@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.functions import text as T
-from feedmill.functions import url as U
 from feedmill.operators import dedup, publish, reports, union
 from feedmill.plans.registry import Tables, query
 
@@ -80,13 +79,15 @@ def priority_evicts_base(t: Tables) -> DataFrame:
     return pri.select("o_orderkey", F.lit(1).alias("lane")).unionByName(dedup.new_rows(base, pri, ["o_custkey"]).select("o_orderkey", F.lit(0).alias("lane")))
 
 
-@query()
+@query("""
+WITH RECURSIVE r AS (SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y') AS a, o_orderpriority AS b, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i FROM orders),
+f AS (SELECT o_custkey, o_orderkey, i, [a] AS seen_a, [b] AS seen_b, true AS keep FROM r WHERE i = 1
+  UNION ALL SELECT r.o_custkey, r.o_orderkey, r.i, CASE WHEN list_contains(f.seen_a, r.a) OR list_contains(f.seen_b, r.b) THEN f.seen_a ELSE list_append(f.seen_a, r.a) END,
+    CASE WHEN list_contains(f.seen_a, r.a) OR list_contains(f.seen_b, r.b) THEN f.seen_b ELSE list_append(f.seen_b, r.b) END, NOT (list_contains(f.seen_a, r.a) OR list_contains(f.seen_b, r.b)) FROM f JOIN r ON r.o_custkey = f.o_custkey AND r.i = f.i + 1)
+SELECT o_orderkey FROM f WHERE keep""")
 def either_key_dedup(t: Tables) -> DataFrame:
-    """Greedy first-fit on two keys: an order stays unless one that stayed has its customer and day, or its price band and priority."""
-    rows = t.orders.select(
-        "o_orderkey", F.concat_ws("|", "o_custkey", F.date_format("o_orderdate", "yyyy-MM")).alias("a"),
-        F.concat_ws("|", F.floor(F.col("o_totalprice") / 10).cast("string"), "o_orderpriority").alias("b"),
-    )
+    """Greedy first-fit on two keys: a customer's order stays unless one that stayed has its year or its priority."""
+    rows = t.orders.select("o_orderkey", F.concat_ws("|", "o_custkey", F.date_format("o_orderdate", "yyyy")).alias("a"), F.concat_ws("|", "o_custkey", "o_orderpriority").alias("b"))
     return dedup.either_key(rows, "a", "b", "o_orderkey").select("o_orderkey")
 
 
@@ -137,29 +138,6 @@ def conflict_keys(t: Tables) -> DataFrame:
     return dedup.conflicts(t.documents.select(F.md5("text").alias("text_hash"), "source"), "text_hash", "source").select("text_hash", "n_values", "values")
 
 
-@query("""
-WITH j AS (SELECT doc_id, source, CASE WHEN n_chars < 20 THEN 'empty' WHEN source = 'src3' THEN 'blocked'
-                  WHEN NOT regexp_matches(text, '^[\\x00-\\x7F]*$') THEN 'non_english' WHEN n_chars > 9000 THEN 'inactive' END AS reason FROM documents)
-SELECT coalesce(reason, 'kept') AS reason, count(*)::BIGINT AS n FROM j GROUP BY 1""")
-def reject_reasons(t: Tables) -> DataFrame:
-    """First reason that refuses each row, counted; what passes is counted too."""
-    reason = (
-        F.when(F.col("n_chars") < 20, "empty").when(F.col("source") == "src3", "blocked").when(~T.is_ascii(F.col("text")), "non_english").when(F.col("n_chars") > 9000, "inactive")
-    )
-    return t.documents.groupBy(F.coalesce(reason, F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
-
-
-@query()
-def publish_feed(t: Tables) -> DataFrame:
-    """Pages as postings through the whole publish filter: refusals, identity, first-fit, ids."""
-    rows = t.pages.select(
-        F.col("page_id").alias("ord"), F.col("url").alias("link"), U.host(F.col("url")).alias("company"),
-        F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("role"), F.lit("2024-01-01").alias("date"), F.lit("").alias("ats_type"), F.lit("").alias("ats_id"),
-    )
-    out, _ = publish.publish(rows, F.lit("2024-01-20").cast("timestamp"), ("blog tionsh example",), 60)
-    return out.select("ord", "id", "company", "role", "link")
-
-
 @query("""
 WITH x AS (SELECT 'lang' AS dimension, coalesce(lang, 'unknown') AS value, count(*)::BIGINT AS total FROM documents GROUP BY 2
 UNION ALL SELECT 'source', coalesce(source, 'unknown'), count(*)::BIGINT FROM documents GROUP BY 2)
@@ -214,13 +192,13 @@ def lookup_first(t: Tables) -> DataFrame:
 
 @query("""
 SELECT p_brand, p_type, n, median_price, place FROM (
-  SELECT p_brand, p_type, count(*)::BIGINT AS n, median(p_retailprice)::BIGINT AS median_price,
+  SELECT p_brand, p_type, count(*)::BIGINT AS n, floor(median(p_retailprice))::BIGINT AS median_price,
          row_number() OVER (PARTITION BY p_brand ORDER BY count(*) DESC, p_type)::BIGINT AS place FROM part GROUP BY 1, 2) WHERE place <= 3""")
 def median_topk(t: Tables) -> DataFrame:
     """Commonest titles of each employer with count and whole median."""
     from pyspark.sql import Window
 
-    g = t.part.groupBy("p_brand", "p_type").agg(F.count("*").alias("n"), F.rint(F.median("p_retailprice")).cast("bigint").alias("median_price"))
+    g = t.part.groupBy("p_brand", "p_type").agg(F.count("*").alias("n"), F.floor(F.median("p_retailprice")).cast("bigint").alias("median_price"))
     place = F.row_number().over(Window.partitionBy("p_brand").orderBy(F.desc("n"), "p_type")).cast("bigint")
     return g.withColumn("place", place).filter("place <= 3")
 

@@ -125,11 +125,8 @@ def share_of_total(t: Tables) -> DataFrame:
 SELECT event_type, l[greatest(ceil(len(l) * 0.5), 1)::INT] AS p50, l[greatest(ceil(len(l) * 0.9), 1)::INT] AS p90 FROM (
   SELECT event_type, list_sort(list(value)) AS l FROM events GROUP BY 1)""")
 def percentile_nearest_rank(t: Tables) -> DataFrame:
-    """Exact nearest-rank percentiles by one ranking window, without gathering a group's values in a list."""
-    w = Window.partitionBy("event_type")
-    ranked = t.events.select("event_type", "value", F.row_number().over(w.orderBy("value")).alias("r"), F.count("*").over(w).alias("n"))
-    at = lambda q: F.max(F.when(F.col("r") == F.greatest(F.ceil(F.col("n") * q), F.lit(1)), F.col("value")))
-    return ranked.groupBy("event_type").agg(at(0.5).alias("p50"), at(0.9).alias("p90"))
+    """Exact nearest-rank percentiles over counted values."""
+    return reports.ranked_percentiles(t.events, "event_type", "value", {"p50": 0.5, "p90": 0.9})
 
 
 @query("""
@@ -219,11 +216,12 @@ def source_selection(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT user_id, round(sum(value), 2)::DOUBLE AS value, coalesce(arg_max(event_type, event_id) FILTER (WHERE event_type <> 'click'), 'ok') AS status FROM events GROUP BY 1""")
+SELECT user_id, round(sum(value), 2)::DOUBLE AS value, coalesce(arg_max(event_type, event_id) FILTER (WHERE event_type <> 'click'), 'ok') AS status,
+  array_to_string(coalesce(list('at ' || event_id ORDER BY event_id) FILTER (WHERE value > 90), []), '|') AS notes FROM events GROUP BY 1""")
 def run_stats(t: Tables) -> DataFrame:
     """Sums over a run's parts; the last status that isn't fine."""
-    rows = t.events.select("user_id", "event_id", "value", F.when(F.col("event_type") == "click", "ok").otherwise(F.col("event_type")).alias("status"))
-    return reports.run_stats(rows, "user_id", "event_id", ["value"], "status").withColumn("value", F.round("value", 2))
+    rows = t.events.select("user_id", "event_id", "value", F.when(F.col("event_type") == "click", "ok").otherwise(F.col("event_type")).alias("status"), F.when(F.col("value") > 90, F.concat(F.lit("at "), F.col("event_id").cast("string"))).alias("notes"))
+    return reports.run_stats(rows, "user_id", "event_id", ["value"], "status", "notes").withColumns({"value": F.round("value", 2), "notes": F.array_join("notes", "|")})
 
 
 @query("""SELECT user_id, count(DISTINCT event_type)::BIGINT AS kinds, count(DISTINCT strftime(ts, '%Y-%m-%d'))::BIGINT AS days FROM events GROUP BY 1""")

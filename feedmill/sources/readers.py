@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
 def manifest_paths(manifest: dict, allowed: list[str]) -> list[str]:
@@ -40,32 +36,37 @@ def scan_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("wholetext", "true").text(path).select(F.input_file_name().alias("path"), F.col("value").alias("body"))
 
 
-class PagedJsonSource(DataSource):
-    """Paged JSON lists: one partition for each page of ``total`` rows.
-
-    Options: ``path`` (a pattern with {offset}, read by the worker), ``total``, ``page``.
-    Rows are (offset, place, body).
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "paged_json"
-
-    def schema(self) -> str:
-        return "offset long, place int, body string"
-
-    def reader(self, schema) -> DataSourceReader:
-        return _PagedReader(self.options)
+def recorded_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(vendor, board, page, body) of recorded answers below ``path``/vendor=/board=/page=, read by Spark from any file system."""
+    rows = spark.read.option("wholetext", "true").option("basePath", path).text(path)
+    return rows.select("vendor", F.col("board").cast("string").alias("board"), F.col("page").cast("int").alias("page"), F.regexp_replace("value", r"\n$", "").alias("body"))
 
 
-class _PagedReader(DataSourceReader):
-    def __init__(self, options: dict) -> None:
-        self.path, self.total, self.page = options["path"], int(options["total"]), int(options.get("page", "100"))
+def asked_pages(pages: DataFrame, size: Column, full: int, most: int) -> DataFrame:
+    """The pages that a fetch would have asked for: up to the first that is not full, ``most`` at the most.
 
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(offset) for offset in range(0, self.total, self.page)]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        with open(self.path.format(offset=partition.value), encoding="utf-8") as f:
-            for place, row in enumerate(json.load(f)):
-                yield partition.value, place, json.dumps(row, sort_keys=True)
+    ``size`` is the number of postings on a page.  A page after a short one is never asked for.
+    """
+    w = Window.partitionBy("vendor", "board").orderBy("page")
+    short = F.max((F.col("_size") < full).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    counted = pages.withColumn("_size", size).withColumns({"_done": F.coalesce(short, F.lit(0)), "_n": F.row_number().over(w)})
+    return counted.filter((F.col("_done") == 0) & (F.col("_n") <= most)).drop("_size", "_done", "_n")
+
+
+def chained_pages(pages: DataFrame, following: Column, most: int) -> DataFrame:
+    """The pages that a chain reaches from page 0: each names the next in ``following``, null at the end."""
+    links = pages.withColumn("_next", following.cast("int"))
+    at = links.filter("page = 0")
+    out = at
+    for _ in range(most - 1):
+        at = links.join(at.select("vendor", "board", F.col("_next").alias("page")).filter("page is not null"), ["vendor", "board", "page"])
+        out = out.unionByName(at)
+    return out.drop("_next").dropDuplicates(["vendor", "board", "page"])
+
+
+def board_stats(rows: DataFrame, boards: DataFrame) -> DataFrame:
+    """(vendor, board, rows, status) of boards asked for: ok, or empty where nothing came."""
+    counts = rows.groupBy("vendor", "board").agg(F.count("*").alias("rows"))
+    return boards.select("vendor", "board").distinct().join(counts, ["vendor", "board"], "left").select(
+        "vendor", "board", F.coalesce("rows", F.lit(0)).alias("rows"), F.when(F.col("rows") > 0, "ok").otherwise("empty").alias("status")
+    )

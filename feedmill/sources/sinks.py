@@ -29,26 +29,59 @@ def write_verified(df: DataFrame, path: str) -> int:
     if [f.name for f in back.schema] != [f.name for f in df.schema]:
         raise ValueError("the written table has other columns")
     rows = back.count()
-    fs.delete(Path(old), True)
-    if fs.exists(target):
-        fs.rename(target, Path(old))
-    if not fs.rename(Path(staged), target):
-        fs.rename(Path(old), target)
-        raise OSError(f"could not put {path} in place")
-    fs.delete(Path(old), True)
+    replace_all(spark, [(staged, path)])
     return rows
 
 
+def replace_all(spark: SparkSession, pairs: list[tuple[str, str]]) -> None:
+    """Put staged files or folders in place of others, all or none.
+
+    What was there is set aside first; if a step fails, everything already put in place goes
+    and what was set aside comes back, and the error of the step is raised.
+    """
+    aside: list[str] = []
+    placed: list[str] = []
+    fs_of = lambda path: _fs(spark, path)
+    try:
+        for staged, path in pairs:
+            fs, target, Path = fs_of(path)
+            if not fs.exists(Path(staged)):
+                raise OSError(f"{staged} is not staged")
+            fs.delete(Path(f"{path}.old"), True)
+            if fs.exists(target):
+                if not fs.rename(target, Path(f"{path}.old")):
+                    raise OSError(f"could not set {path} aside")
+                aside.append(path)
+        for staged, path in pairs:
+            fs, target, Path = fs_of(path)
+            if not fs.rename(Path(staged), target):
+                raise OSError(f"could not put {path} in place")
+            placed.append(path)
+    except Exception:
+        for path in placed:
+            fs, target, _ = fs_of(path)
+            fs.delete(target, True)
+        for path in aside:
+            fs, target, Path = fs_of(path)
+            fs.rename(Path(f"{path}.old"), target)
+        raise
+    for path in aside:
+        fs, _, Path = fs_of(path)
+        fs.delete(Path(f"{path}.old"), True)
+
+
+def write_texts(spark: SparkSession, bodies: dict[str, str]) -> None:
+    """Small files on any file system, staged and then put in place all or none."""
+    for path, body in bodies.items():
+        fs, _, Path = _fs(spark, path)
+        out = fs.create(Path(f"{path}.staged"), True)
+        out.write(bytearray(body.encode()))
+        out.close()
+    replace_all(spark, [(f"{path}.staged", path) for path in bodies])
+
+
 def write_text(spark: SparkSession, path: str, body: str) -> None:
-    """Small file on any file system, by way of a staged one."""
-    fs, target, Path = _fs(spark, path)
-    staged = Path(f"{path}.staged")
-    out = fs.create(staged, True)
-    out.write(bytearray(body.encode()))
-    out.close()
-    fs.delete(target, False)
-    if not fs.rename(staged, target):
-        raise OSError(f"could not put {path} in place")
+    write_texts(spark, {path: body})
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -120,3 +153,133 @@ def rss(df: DataFrame, title: str, newest: int = 200) -> str:
 def country_pages(df: DataFrame, path: str) -> None:
     """One folder a country."""
     df.write.mode("overwrite").partitionBy("country").json(path)
+
+
+# ---- snapshots: a table and a record of it for each source
+
+
+def _record_path(root: str, name: str) -> str:
+    return f"{root}/snapshots/{name}.json"
+
+
+def read_record(spark: SparkSession, root: str, name: str) -> dict:
+    """The record of a source's snapshot, empty if there is none."""
+    fs, p, _ = _fs(spark, _record_path(root, name))
+    return json.loads(read_text(spark, _record_path(root, name))) if fs.exists(p) else {}
+
+
+def record_snapshot(spark: SparkSession, root: str, name: str, rows: int, status: str, now: datetime, etag: str = "", rejections: int = 0) -> dict:
+    """Write the record alone, for sources that are not kept or were not taken over."""
+    payload = {"source": name, "fetched_at": now.isoformat(), "provenance": "fetch", "rows": rows, "status": status, "etag": etag, "rejections": rejections}
+    write_text(spark, _record_path(root, name), json.dumps(payload, sort_keys=True))
+    return payload
+
+
+def save_snapshot(df: DataFrame, root: str, name: str, now: datetime, etag: str = "", shrink: float = 0.3, most_rejections: int = 2) -> dict:
+    """Write a source's snapshot if it is neither empty nor far smaller than the one before; returns the record.
+
+    A rejected fetch leaves the table and is recorded; after ``most_rejections`` in a row a
+    small one is taken over.
+    """
+    spark = df.sparkSession
+    before = read_record(spark, root, name)
+    had, rejections = int(before.get("rows") or 0), int(before.get("rejections") or 0)
+    rows = df.count()
+    reason = "empty" if not rows else "shrunken" if had and rejections < most_rejections and rows < had * shrink else ""
+    if reason:
+        return record_snapshot(spark, root, name, had, f"rejected:{reason}", now, before.get("etag", ""), rejections + 1)
+    written = write_verified(df, f"{root}/{name}.parquet")
+    return record_snapshot(spark, root, name, written, "ok:recovered" if rejections else "ok", now, etag)
+
+
+def load_snapshot(spark: SparkSession, root: str, name: str, schema, now: datetime, ttl_hours: float) -> DataFrame:
+    """A source's snapshot if its record says that it may be served, else no rows of ``schema``."""
+    from feedmill.operators.union import servable
+
+    record = read_record(spark, root, name)
+    none = spark.createDataFrame([], schema)
+    if not record:
+        return none
+    age = (now - datetime.fromisoformat(record["fetched_at"])).total_seconds() / 3600
+    one = spark.range(1).select(*servable(*[F.lit(record[k]) for k in ("status", "provenance", "rows")], F.lit(round(age, 2)), F.lit(float(ttl_hours))))
+    return spark.read.schema(none.schema).parquet(f"{root}/{name}.parquet") if one.first()[1] else none
+
+
+# ---- generations: preserve, recover, prune, reconcile
+
+
+def generations(spark: SparkSession, root: str) -> list[str]:
+    fs, p, _ = _fs(spark, f"{root}/generations")
+    return sorted(x.getPath().getName() for x in fs.listStatus(p) if x.isDirectory()) if fs.exists(p) else []
+
+
+def prune_generations(spark: SparkSession, root: str, keep: int = 4) -> list[str]:
+    """Delete all but the newest ``keep`` generations, never the current one; returns those that went."""
+    run = read_text(spark, f"{root}/CURRENT").strip()
+    gone = [g for g in generations(spark, root)[:-keep] if g != run]
+    for g in gone:
+        for path in (f"{root}/generations/{g}", f"{root}/generations/{g}.manifest.json"):
+            fs, p, _ = _fs(spark, path)
+            fs.delete(p, True)
+    return gone
+
+
+def recover(spark: SparkSession, root: str) -> str:
+    """Point at the newest generation whose table agrees with its manifest; raises if none does."""
+    for run in reversed(generations(spark, root)):
+        write_text(spark, f"{root}/CURRENT", run)
+        try:
+            if not audit(spark, root):
+                return run
+        except Exception:  # an unreadable table or manifest is a generation that does not count
+            continue
+    raise ValueError("no generation agrees with its manifest")
+
+
+def reconcile(spark: SparkSession, root: str, names: tuple[str, ...] = ("run_meta", "health", "source_stats"), blocked: str = "") -> list[str]:
+    """Make the small count files of a run agree with the current generation's manifest, all or none; returns those that were there.
+
+    With ``blocked`` they say that the run was refused, and still name the generation that stands.
+    """
+    if not blocked and (wrong := audit(spark, root)):
+        raise ValueError(f"the current generation disagrees with its manifest: {wrong}")
+    run = read_text(spark, f"{root}/CURRENT").strip()
+    manifest = json.loads(read_text(spark, f"{root}/generations/{run}.manifest.json"))
+    found = {}
+    for name in names:
+        fs, p, _ = _fs(spark, f"{root}/{name}.json")
+        if fs.exists(p):
+            payload = json.loads(read_text(spark, f"{root}/{name}.json")) | {"generation": run, "published": manifest["rows"], "publication_status": "blocked" if blocked else "published"}
+            found[name] = payload | ({"publication_blocked_reason": blocked} if blocked else {})
+    write_texts(spark, {f"{root}/{n}.json": json.dumps(v, sort_keys=True) for n, v in found.items()})
+    return sorted(found)
+
+
+def write_digests(events: DataFrame, path: str, day: str) -> None:
+    """What a day found and closed, a folder each: (key, event, ...)."""
+    for event in ("new", "closed"):
+        events.filter(F.col("event") == event).orderBy("key").write.mode("overwrite").json(f"{path}/{event}-{day}")
+
+
+def run_meta(spark: SparkSession, root: str, run: str, stats: DataFrame) -> dict:
+    """Write totals and sources of a run (source, discovered, valid, new, seconds, status) as small files; sources by what they found anew."""
+    rows = [r.asDict() for r in stats.orderBy(F.desc("new"), F.desc("valid"), F.desc("discovered"), "source").limit(1000).collect()]
+    one = stats.agg(*[F.sum(c).alias(c) for c in ("discovered", "valid", "new", "seconds")], F.count("*").alias("sources"), F.count_if(F.col("status") != "ok").alias("failed")).first().asDict()
+    payload = {"run_id": run, "totals": one, "sources": rows}
+    write_texts(spark, {f"{root}/run_meta.json": json.dumps({"run_id": run, "totals": one}, sort_keys=True, default=float), f"{root}/source_stats.json": json.dumps(payload, sort_keys=True, default=float)})
+    return payload
+
+
+def write_reference(totals: DataFrame, titles: DataFrame, path: str) -> None:
+    """Reference of sponsors as JSON lines in order of name: (name, approvals) with the titles of each."""
+    per = titles.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("place", "title", "n", "median_salary"))).alias("titles"))
+    totals.join(per, "name", "full").orderBy("name").write.mode("overwrite").json(path)
+
+
+def repaired(df: DataFrame, ordinal: str) -> DataFrame:
+    """Records with their links in shown form, the first of each canonical link; records whose link has none go."""
+    from feedmill.functions import url as U
+    from feedmill.operators.dedup import keep_first
+
+    shown = df.withColumn("link", U.display(F.col("link"))).filter("link <> ''").withColumn("_url", U.canonical(F.col("link")))
+    return keep_first(shown, ["_url"], [F.col(ordinal)]).drop("_url")
