@@ -45,7 +45,11 @@ def html_to_text(t: Tables) -> DataFrame:
     return t.pages.select("page_id", F.md5(plain).alias("h"), F.length(plain).cast("bigint").alias("n"))
 
 
-@query()
+_BARE = "regexp_replace(html, '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', ' ', 'g')"
+_LINES = f"regexp_replace({_BARE}, '(?i)<br\\s*/?>|</(?:p|div|li|h[1-6]|tr|article|nav|footer)>', chr(10), 'g')"
+
+
+@query("SELECT page_id, trim(regexp_replace(regexp_replace(" + _UNESCAPE.replace("{0}", f"regexp_replace({_LINES}, '<[^>]+>', ' ', 'g')") + r", '[ \t]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ') AS text FROM pages")
 def readable_text(t: Tables) -> DataFrame:
     """Page text without scripts, blocks on lines."""
     return t.pages.select("page_id", T.html_text(F.col("html")).alias("text"))

@@ -67,10 +67,10 @@ def _recorded(t: Tables, vendor: str, full: int, body) -> str:
     return path
 
 
-@query(f"""WITH {_PAGED} SELECT board::VARCHAR AS board, k, 'Data Clerk ' || n AS role, 'https://{{b}}.example/job/' || n AS link FROM p WHERE i < 60""".replace("'https://{b}.example/job/'", "'https://b' || board || '.example/job/'"))
+@query(f"""WITH {_PAGED} SELECT board::VARCHAR AS board, k, 'Data Clerk ' || n AS role, 'https://{{b}}.example/job/' || n AS link FROM p WHERE i < 300""".replace("'https://{b}.example/job/'", "'https://b' || board || '.example/job/'"))
 def offset_pages(t: Tables) -> DataFrame:
     """A board's pages by offset, up to a short one or the most that is asked for."""
-    full = 20
+    full = 100
     listed = lambda js: F.transform(js, lambda j: F.struct(F.concat(F.lit("Data Clerk "), j["n"]).alias("title"), j["place"].alias("locationsText"), F.concat(F.lit("/job/"), j["n"]).alias("externalPath")))
     path = _recorded(t, "Workday", full, lambda js, page, total: F.to_json(F.struct(total.alias("total"), listed(js).alias("jobPostings"))))
     pages = readers.recorded_pages(t.spark, path)
@@ -80,12 +80,12 @@ def offset_pages(t: Tables) -> DataFrame:
     return rows.select(F.regexp_extract("link", r"//b(\d+)\.", 1).alias("board"), F.regexp_extract("role", r"(\d+)", 1).cast("long").alias("k"), "role", "link")
 
 
-@query(f"""WITH {_PAGED} SELECT board::VARCHAR AS board, k FROM p WHERE i < 4 * 15 AND board <> 3""")
+@query(f"""WITH {_PAGED} SELECT board::VARCHAR AS board, k FROM p WHERE i < 4 * 250 AND board <> 3""")
 def cursor_pages(t: Tables) -> DataFrame:
     """A board's pages as a chain: each answer names the next."""
-    following = lambda page, total: F.when((page + 1) * 15 < total, page + 1)
+    following = lambda page, total: F.when((page + 1) * 250 < total, page + 1)
     items = lambda js: F.transform(js, lambda j: F.struct(F.concat(F.lit("Data Clerk "), j["n"]).alias("title"), F.concat(F.lit("https://x.example/"), j["n"]).alias("url")))
-    path = _recorded(t, "Teamtailor", 15, lambda js, page, total: F.to_json(F.struct(items(js).alias("items"), following(page, total).alias("next"))))
+    path = _recorded(t, "Teamtailor", 250, lambda js, page, total: F.to_json(F.struct(items(js).alias("items"), following(page, total).alias("next"))))
     pages = readers.recorded_pages(t.spark, path).withColumn("page", F.when(F.col("board") == "3", F.col("page") + 1).otherwise(F.col("page")))  # a board whose first page is gone
     chain = readers.chained_pages(pages, F.get_json_object("body", "$.next"), 4)
     rows = chain.select("board", F.explode(F.from_json(F.get_json_object("body", "$.items"), "array<struct<title:string>>")).alias("j"))
@@ -96,7 +96,7 @@ def cursor_pages(t: Tables) -> DataFrame:
 def probe_run(t: Tables) -> DataFrame:
     """A run over planned boards: pages, postings, and what each board gave."""
     items = lambda js: F.to_json(F.transform(js, lambda j: F.struct(F.concat(F.lit("Data Intern "), j["n"]).alias("name"), F.concat(F.lit("https://x.example/"), j["n"]).alias("url"))))
-    pages = readers.recorded_pages(t.spark, _recorded(t, "Rippling", 50, lambda js, page, total: items(js)))
+    pages = readers.recorded_pages(t.spark, _recorded(t, "Rippling", 500, lambda js, page, total: items(js)))
     boards = t.spark.createDataFrame([("Rippling", str(b), "standard", b) for b in (0, 1, 2, 3, 4, 9)], "ats string, slug string, lane string, ordinal int")
     state = t.spark.createDataFrame([], "ats string, slug string, at double, rows long, zero int")
     plan = feed.probe_plan(boards, state, 1e9, 10, 4.0).filter("decision = 'probe'").select(F.col("ats").alias("vendor"), F.col("slug").alias("board"))
