@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmill.llm import bpe, line_dedup, mixing, shingles, toxicity
+from feedmill.llm import bpe, line_dedup, mixing, shingles, simhash, toxicity
+from feedmill.llm.components import connected_components, keep_first
 from feedmill.runtime import cut, read_table
 
 #: Block length of the mix: long enough that most documents are taken whole.
@@ -22,7 +23,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return shingles.keep_one(docs)
+    """Operator 2's SimHash links, each checked by Jaccard similarity, then the similar texts that 64 bits can't tell from chance."""
+    return keep_first(docs, connected_components(shingles.near_links(docs, simhash.text_links(docs))))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

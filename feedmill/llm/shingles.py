@@ -1,9 +1,11 @@
 """Near-duplicates by exact Jaccard similarity of word shingles.
 
-Two sets of at least four fifths in common share one of the first
-``n - ceil(0.8 n) + 1`` shingles of each in any one order of all shingles.  The
-order goes by frequency in a sample, rare ones first, so texts rarely meet by
-chance; which sample it was changes the work and never the pairs.  Texts that meet
+Take any one order of all shingles.  Two sets of at least four fifths in common share k + 1
+of the first ``n - ceil(0.8 n) + 1 + k`` shingles of each, for any k.  Here k is about n / 10, so a
+text takes part only if so many of its first shingles are in other texts too: what texts
+share by chance, or a passage, seldom reaches that, and neither texts nor pairs grow with
+the square of the table.  The order goes by frequency in a sample, rare ones first; which
+sample it was changes the work and never the pairs.  Texts that meet
 under a shingle are first compared with the smallest of them.  Those that are not
 connected by then are compared pairwise, so that a group of m copies costs about m
 comparisons and no link between groups is missed.
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.llm.components import connected_components, keep_first
@@ -30,6 +32,8 @@ OVER, UNDER = 4, 5
 #: Rows whose shingles are counted for the order, and how many frequent shingles every task gets.
 SAMPLE_ROWS = 20_000
 MOST_FREQUENT = 200_000
+#: Texts whose keys a worker hands over at once.
+PACK = 200
 #: With more texts to fetch for verification than this, fetching is left to a shuffle.
 BROADCAST_TEXTS = 1_000_000
 
@@ -54,12 +58,17 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return UNDER * both >= OVER * (len(a) + len(b) - both)
 
 
+def spare(n):
+    """The k of a set of n shingles, for ints, arrays and columns; it never falls with n."""
+    return (n * (UNDER - OVER) // UNDER + 1) // 2 if not isinstance(n, Column) else F.floor((F.floor(n * (UNDER - OVER) / UNDER) + 1) / 2)
+
+
 def prefix(own: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The first shingles of a set in the order of (count in the sample, hash); 0 stands for an empty set."""
     n = len(own)
     if not n:
         return np.array([0], np.uint64)
-    take = n - -(-OVER * n // UNDER) + 1
+    take = n - -(-OVER * n // UNDER) + 1 + spare(n)
     if len(common):
         at = np.minimum(np.searchsorted(common, own), len(common) - 1)
         own = own[np.argsort(np.where(common[at] == own, counts[at], 0), kind="stable")]
@@ -91,27 +100,59 @@ def _keyed(texts: DataFrame) -> DataFrame:
         common, counts = sent.value
         known: set[int] = set()
         for b in batches:
-            keys, sizes, ids = [], [], []
-            for h, t in zip(b.column(0).to_pylist(), b.column(1)):
-                if h in known:  # a text that this task has sent already needn't go again
-                    continue
-                if len(known) >= 1 << 18:
-                    known.clear()
-                known.add(h)
-                own = shingle_set(t.as_py())
-                keys.append(prefix(own, common, counts).view(np.int64))
-                ids.append(h)
-                sizes.append(len(own))
-            if ids:
-                each = [len(k) for k in keys]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), pa.array(np.repeat(np.array(ids, np.int64), each)), pa.array(np.repeat(np.array(sizes, np.int32), each))],
-                    ["key", "h", "n"],
-                )
+            for at in range(0, b.num_rows, PACK):
+                part = b.slice(at, PACK)
+                keys, sizes, ids = [], [], []
+                for h, t in zip(part.column(0).to_pylist(), part.column(1)):
+                    if h in known:  # a text that this task has sent already needn't go again
+                        continue
+                    if len(known) >= 1 << 16:
+                        known.clear()
+                    known.add(h)
+                    own = shingle_set(t.as_py())
+                    keys.append(prefix(own, common, counts).view(np.int64))
+                    ids.append(h)
+                    sizes.append(len(own))
+                if ids:
+                    each = [len(k) for k in keys]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(keys)), pa.array(np.repeat(np.array(ids, np.int64), each)), pa.array(np.repeat(np.array(sizes, np.int32), each))],
+                        ["key", "h", "n"],
+                    )
 
     return texts.mapInArrow(run, "key long, h long, n int")
 
 
+def _met(keyed: DataFrame) -> DataFrame:
+    """The distinct rows of the keys that more than one text has, in one shuffle.
+
+    Of a key only the last row is held, however many texts have it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        paired = False  # has the held row met another one already?
+        for b in batches:
+            if not b.num_rows:
+                continue
+            now = [b.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            if held:
+                now = [np.concatenate([x, y]) for x, y in zip(held, now)]
+            key, h = now[0], now[1]
+            new = np.concatenate(([True], (key[1:] != key[:-1]) | (h[1:] != h[:-1])))
+            now = [x[new] for x in now]
+            same = now[0][1:] == now[0][:-1]
+            many = np.concatenate(([paired], same)) | np.concatenate((same, [False]))
+            held, paired = [x[-1:] for x in now], bool(many[-1])
+            many[-1] = False
+            if many.any():
+                yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in now], ["key", "h", "n"])
+        if paired:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["key", "h", "n"])
+
+    return keyed.repartition("key").sortWithinPartitions("key", "h").mapInArrow(run, "key long, h long, n int")
+
+
 def _across(keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray, roots: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Pairs under one key that are not connected yet and whose sizes allow the similarity."""
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]))
@@ -119,14 +160,15 @@ def _across(keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray, roots: np.ndar
         for i in range(lo, hi - 1):
             j = np.arange(i + 1, hi)
             small, big = np.minimum(sizes[j], sizes[i]), np.maximum(sizes[j], sizes[i])
-            j = j[(roots[j] != roots[i]) & (UNDER * small >= OVER * big)]
+            fit = (roots[j] != roots[i]) & (UNDER * small >= OVER * big)
+            j, small = j[fit], small[fit]
             if len(j):
                 u, v = np.minimum(ids[j], ids[i]), np.maximum(ids[j], ids[i])
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array((spare(small) + 1).astype(np.int32))], ["u", "v", "least"])
 
 
 def _pairs_across(met: DataFrame) -> DataFrame:
-    """(key, h, n, root) -> pairs of texts of different roots that meet under a key."""
+    """(key, h, n, root) -> pairs of texts of different roots that meet under as many keys as similar ones do."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
@@ -143,7 +185,8 @@ def _pairs_across(met: DataFrame) -> DataFrame:
         if held:
             yield from _across(*held)
 
-    return met.select("key", "h", "n", "root").repartition("key").sortWithinPartitions("key").mapInArrow(run, "u long, v long").distinct()
+    pairs = met.select("key", "h", "n", "root").repartition("key").sortWithinPartitions("key").mapInArrow(run, "u long, v long, least int")
+    return pairs.groupBy("u", "v", "least").agg(F.count("*").alias("m")).filter("m >= least").select("u", "v")
 
 
 def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -171,24 +214,38 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return links
 
 
-def near_links(docs: DataFrame) -> DataFrame:
+def near_links(docs: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
     """(text) -> links (u, v) of text hashes, all similar, that connect every group of similar texts.
 
-    Null and wordless texts are equal to one another.
+    ``candidates`` are pairs (u, v) of text hashes from another method.  They are checked first, and
+    the join compares only what they leave apart.  Null and wordless texts are equal to one another.
     """
     texts = docs.select(F.xxhash64(F.col("text").cast("string")).alias("h"), F.col("text").cast("string").alias("text"))
-    keyed = _keyed(texts).distinct()
-    least = keyed.groupBy("key").agg(F.min("h").alias("u"), F.count("*").alias("m")).filter("m > 1").select("key", "u")
-    met = cut(keyed.join(least, "key"))
-    first = met.filter("h = u").select("key", F.col("n").alias("n_u"))
-    star = cut(
-        met.filter("h <> u").join(first, "key").filter(UNDER * F.least("n", "n_u") >= OVER * F.greatest("n", "n_u")).select("u", F.col("h").alias("v")).distinct()
-    )
-    links = _verified(texts, star)
+    every = cut(_met(_keyed(texts)))
+    partner = F.ceil(F.col("n") * OVER / UNDER)  # the smallest set that can be similar
+    able = every.groupBy("h", "n").agg(F.count("*").alias("m")).filter(F.col("m") > spare(partner)).select("h")
+    met = cut(every.join(able, "h", "left_semi"))
+    discard(every)
+    least = met.groupBy("key").agg(F.min(F.struct("h", "n")).alias("c"), F.count("*").alias("m")).filter("m > 1")
+    least = least.select("key", F.col("c.h").alias("u"), F.col("c.n").alias("n_u"))
+    near = met.join(least, "key").filter((F.col("h") != F.col("u")) & (UNDER * F.least("n", "n_u") >= OVER * F.greatest("n", "n_u")))
+    star = near.select("u", F.col("h").alias("v")).distinct()
+    links = checked = None
+    if candidates is not None:
+        checked = cut(candidates.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+        links = _verified(texts, checked)
+        found = cut(connected_components(links))
+        u, v = (found.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "uv")
+        star = star.join(u, "u", "left").join(v, "v", "left").filter(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
+        star = star.join(checked, ["u", "v"], "left_anti")
+    star = cut(star)
+    more = _verified(texts, star)
+    links = more if links is None else links.unionByName(more)
+    seen = star if checked is None else star.unionByName(checked)
     roots = cut(connected_components(links))
     named = met.join(roots, met.h == roots.node, "left").select("key", "h", "n", F.coalesce("root", "h").alias("root"))
     mixed = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    rest = cut(_pairs_across(named.join(mixed, "key", "left_semi")).join(star, ["u", "v"], "left_anti"))
+    rest = cut(_pairs_across(named.join(mixed, "key", "left_semi")).join(seen, ["u", "v"], "left_anti"))
     out = links.unionByName(_verified(texts, rest))
     discard(met)
     discard(star)

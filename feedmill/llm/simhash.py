@@ -266,10 +266,17 @@ def fingerprint_hex(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """Of each group only the first document stays; see :func:`keep_first`."""
+def text_links(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """(text) -> links (u, v) of text hashes, ``xxhash64(text)``, that span every group within ``max_bits``."""
     text = F.col("text").cast("string")
     prints = cut(with_fingerprint(docs.select(F.xxhash64(text).alias("doc_id"), "text"), words_per_shingle).distinct())
-    roots = connected_components(fingerprint_links(prints.select("fp").distinct(), max_bits))
-    named = prints.join(roots, prints.fp == roots.node, "left")
-    return keep_first(docs, named.select(F.col("doc_id").alias("node"), F.coalesce("root", "fp").alias("root")))
+    lowest = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    near = fingerprint_links(lowest, max_bits)
+    same = prints.join(lowest, "fp").filter("doc_id <> low").select(F.col("low").alias("u"), F.col("doc_id").alias("v"))
+    u, v = (lowest.select(F.col("fp").alias(x), F.col("low").alias(f"low_{x}")) for x in "uv")
+    return same.unionByName(near.join(u, "u").join(v, "v").select(F.col("low_u").alias("u"), F.col("low_v").alias("v")))
+
+
+def keep_one(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """Of each group only the first document stays; see :func:`keep_first`."""
+    return keep_first(docs, connected_components(text_links(docs, words_per_shingle, max_bits)))

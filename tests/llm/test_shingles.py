@@ -66,3 +66,34 @@ def test_near_dedup_of_repeated_and_null_ids(spark):
     rows = [(5, a), (7, a), (5, b), (2, b), (3, c), (None, c), (None, d), (None, d + " e")]
     got = sorted(map(tuple, shingles.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
     assert len(got) == 4 and {(5, a), (2, b), (3, c)} < set(got)
+
+
+def test_near_dedup_goes_through_simhash(spark, monkeypatch):
+    """What SimHash links is checked first, and the join has nothing left to compare."""
+    long = " ".join(f"w{i}" for i in range(300))
+    said = "said again and again by all them " * 60  # one fingerprint, few shingles in common
+    rows = [(1, long), (2, long + " end"), *((k, said + " ".join(f"{k}x{i}" for i in range(20))) for k in (3, 4))]
+    compared, verified = [], shingles._verified
+
+    def counted(texts, pairs):
+        compared.append(pairs.count())
+        return verified(texts, pairs)
+
+    monkeypatch.setattr(shingles, "_verified", counted)
+    got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    assert sorted(r.doc_id for r in got) == [1, 3, 4] and compared == [2, 0, 0]
+
+
+def test_texts_that_share_a_passage_are_not_compared(spark, monkeypatch):
+    shared = [" ".join(f"p{i}w{j}" for j in range(25)) for i in range(41)]
+    rows = [(i, " ".join([shared[i], *(f"d{i}w{j}" for j in range(200)), shared[i + 1]])) for i in range(40)]
+    rows.append((100, rows[0][1] + " more"))
+    compared, verified = [], shingles._verified
+
+    def counted(texts, pairs):
+        compared.append(pairs.count())
+        return verified(texts, pairs)
+
+    monkeypatch.setattr(shingles, "_verified", counted)
+    links = shingles.near_links(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(links) == 1 and sum(compared) <= 2
