@@ -258,9 +258,12 @@ def sitemap_candidates(t: Tables) -> DataFrame:
     kind = F.element_at(F.array(*[F.lit(x) for x in ("data-intern", "senior-clerk", "new-grad-role", "internal-tools")]), (F.col("o_orderkey") % 4 + 1).cast("int"))
     slug = F.concat(kind, F.lit("-"), F.col("o_custkey").cast("string"), F.lit("-ab"), F.lpad((F.col("o_custkey") % 1000).cast("string"), 3, "0"))
     entry = F.concat(F.lit("<url><loc>https://e.example/job/"), slug, F.lit("</loc>\n<lastmod> 2024-01-01 </lastmod></url><url><loc>https://e.example/about</loc><lastmod>x</lastmod></url>"))
-    maps = t.orders.select((F.col("o_custkey") % 3).alias("map"), "o_orderkey", entry.alias("e")).groupBy("map").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "e"))).alias("x"))
-    got = crawls.early_candidates(crawls.dated_urls(maps.select("map", F.array_join("x.e", "").alias("xml"), F.col("x.o_orderkey").alias("keys"))), ["map"])
-    return got.select("map", F.element_at("keys", (F.col("place") / 2 + 1).cast("int")).cast("int").alias("place"), "url")
+    # a map comes in parts of bounded length, in the order of the keys; a row keeps its own key, never the part's
+    part = F.floor(F.col("o_orderkey") / 1000).alias("part")
+    maps = t.orders.select((F.col("o_custkey") % 3).alias("map"), part, "o_orderkey", entry.alias("e")).groupBy("map", "part").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "e"))).alias("x"))
+    rows = crawls.dated_urls(maps.select("map", F.array_join("x.e", "").alias("xml"), F.col("x.o_orderkey").alias("keys")))
+    placed = rows.select("map", F.element_at("keys", (F.col("place") / 2 + 1).cast("int")).alias("place"), "url")
+    return crawls.early_candidates(placed, ["map"]).select("map", F.col("place").cast("int").alias("place"), "url")
 
 
 @query("""SELECT 'https://r.example/explore/job/' || o_custkey || 'x' AS url, min(o_orderkey % 4)::INT AS shard FROM orders GROUP BY 1""")

@@ -51,3 +51,11 @@ def test_query(spark, duck, name):
 
 def test_flagship_has_rows(spark):
     assert catalog.flagship(spark, SF).count() > 0
+
+
+def test_sitemap_rows_go_on_without_the_keys_of_their_map(spark):
+    """Each row once carried all keys of its map into the shuffle by slug."""
+    node = __import__("__spark_entry__").queries()["sitemap_candidates"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Window":
+        node = node.children().head()
+    assert "url#" in node.children().head().output().toString() and "keys#" not in node.children().head().output().toString()
