@@ -34,7 +34,8 @@ def base_query(jobs: DataFrame, intern: Column, grad: Column, days: int, as_of:
     """Matched postings of the last ``days`` days: the latest of each employer, title and place, labelled, newest first.
 
     jobs: url, title, company, location, posted_at and what else a posting has.  ``excluded``
-    titles match but have no label; ``extra`` is one more condition.
+    titles match but have no label; ``extra`` is one more condition.  Of postings with one date and
+    address the first by the other columns, in their order, counts.
     """
     posted = F.col("posted_at").cast("timestamp")
     rows = jobs.filter(intern | grad).filter(posted >= F.date_trunc("day", as_of) - F.make_dt_interval(F.lit(days)))
@@ -43,10 +44,10 @@ def base_query(jobs: DataFrame, intern: Column, grad: Column, days: int, as_of:
         rows = rows.filter(~F.col("title").ilike(pattern))
     if extra is not None:
         rows = rows.filter(extra)
-    latest = keep_first(rows, ["company", "title", "location"], [posted.desc(), F.col("url").asc()]).filter(~F.lower("company").isin(*EXCLUDED_EMPLOYERS))
+    kept = [c for c in jobs.columns if c not in ("title", "posted_at", "url")]
+    latest = keep_first(rows, ["company", "title", "location"], [posted.desc(), F.col("url").asc(), *[F.col(c).asc() for c in kept]]).filter(~F.lower("company").isin(*EXCLUDED_EMPLOYERS))
     able = (F.trim("url") != "") & F.col("location").isNotNull() & (F.lit(True) if excluded is None else ~excluded)
     label = F.when(intern & able, "internship").when(grad & able, "new_grad").otherwise("other")
-    kept = [c for c in jobs.columns if c not in ("title", "posted_at", "url")]
     return latest.select(F.col("title").alias("role"), posted.alias("date"), F.col("url").alias("link"), label.alias("job_type"), *kept).orderBy(F.desc("date"), "link")
 
 

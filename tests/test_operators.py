@@ -243,3 +243,12 @@ def test_zero_streak_and_scores(spark):
     assert {r.s: r.zero for r in reports.zero_streak(runs, ["s"], "t", "rows").collect()} == {"a": 2, "b": 0}
     score = spark.range(1).select(reports.board_score(F.lit(80.0), F.lit(0), F.lit("bulk")).alias("x"), reports.board_score(F.lit(10.0), F.lit(50), F.lit("priority")).alias("y")).first()
     assert score.x == 1e9 + 80 and score.y == 60.0
+
+
+def test_base_query_takes_the_same_of_equal_postings(spark):
+    from feedmill.operators import feed
+
+    rows = [(k, "Acme", "Data Intern", "Austin", "http://x.example/1", "2001-07-01 00:00:00") for k in (9, 3, 7)]
+    jobs = spark.createDataFrame(rows, "k long, company string, title string, location string, url string, posted_at string").coalesce(1)
+    got = feed.base_query(jobs, F.lit(True), F.lit(False), 600, F.lit("2001-08-01 00:00:00").cast("timestamp")).collect()
+    assert [r.k for r in got] == [3]
