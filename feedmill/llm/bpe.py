@@ -22,10 +22,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedmill.runtime import FORGET, tidied
+
 MEMO = 1 << 17  # remembered pre-tokens of a worker, in each of two generations
 PAIRS = 1 << 18  # remembered pairs of ids
 LONG = 64  # longer pre-tokens are not remembered
 _LOADED: dict[tuple[str, str, int], Encoder] = {}
+FORGET.append(_LOADED.clear)
 
 
 class PerfectVocabulary:
@@ -217,4 +220,4 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, with_i
             yield pa.RecordBatch.from_arrays(cols, names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidied(run, keep=True), schema)

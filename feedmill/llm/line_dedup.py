@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmill.llm.components import connected_components
-from feedmill.runtime import cut, discard
+from feedmill.runtime import cut, discard, tidied
 
 #: Edits within which lines link: one for each so many characters of the shorter line, and at most MAX_EDITS.
 CHARS_PER_EDIT = 12
@@ -246,8 +246,8 @@ def _candidates(texts: DataFrame, k: int, reach_of: Callable[[int], int]) -> Dat
             yield _meet(*(np.concatenate([h[i] for h in held]) for i in range(3)), 2 * k)
 
     return (
-        texts.select("text").mapInArrow(emit, "key long, id long, mark long")
-        .repartition("key").sortWithinPartitions("key").mapInArrow(meet, "u long, v long").distinct()
+        texts.select("text").mapInArrow(tidied(emit), "key long, id long, mark long")
+        .repartition("key").sortWithinPartitions("key").mapInArrow(tidied(meet), "u long, v long").distinct()
     )
 
 
@@ -267,7 +267,7 @@ def _line_table(docs: DataFrame) -> DataFrame:
                 [b.column(0).take(take), b.column(2).take(take), pa.array(places, pa.int32()), pa.array(ids, pa.int64())], ["doc_id", "h", "line_no", "id"]
             )
 
-    return docs.mapInArrow(run, "doc_id long, h long, line_no int, id long")
+    return docs.mapInArrow(tidied(run), "doc_id long, h long, line_no int, id long")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, reach_of: Callable[[int], int]) -> DataFrame:
@@ -289,7 +289,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, reach_of: Ca
                     lines.append(parts[w["line_no"]].strip())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines, pa.string())], ["id", "line"])
 
-    texts = cut(docs.join(per_doc, on).select("text", "wanted").mapInArrow(fetch, "id long, line string").dropDuplicates(["id"]))
+    texts = cut(docs.join(per_doc, on).select("text", "wanted").mapInArrow(tidied(fetch), "id long, line string").dropDuplicates(["id"]))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -300,7 +300,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, reach_of: Ca
     both = pairs.join(texts.select(F.col("id").alias("u"), F.col("line").alias("a")), "u").join(
         texts.select(F.col("id").alias("v"), F.col("line").alias("b")), "v"
     )
-    return cut(both.select("u", "v", "a", "b").mapInArrow(verify, "u long, v long"))
+    return cut(both.select("u", "v", "a", "b").mapInArrow(tidied(verify), "u long, v long"))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

@@ -6,9 +6,14 @@ text takes part only if so many of its first shingles are in other texts too: wh
 share by chance, or a passage, seldom reaches that, and neither texts nor pairs grow with
 the square of the table.  The order goes by frequency in a sample, rare ones first; which
 sample it was changes the work and never the pairs.  Texts that meet
-under a shingle are first compared with the smallest of them.  Those that are not
-connected by then are compared pairwise, so that a group of m copies costs about m
-comparisons and no link between groups is missed.
+under a shingle are first compared with the smallest of them, so that a group of m copies
+costs about m comparisons.  Of those that are not connected by then all shingles are counted,
+and no longer in a sample: two texts of different groups have only shingles in common that
+several groups have.  A text with less than four fifths of such is done, the others meet by a prefix in
+the order of these counts, and a pair is compared only if what both have from their first
+common shingle on is enough and maps of the parity of their shingles differ in few enough bits, which
+bounds what they have in common from above.  No link between groups is missed, and near copies that are less
+alike are seldom compared.
 
 Texts are known by a 64-bit hash, and so are shingles.
 """
@@ -24,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.llm.components import connected_components, keep_first
-from feedmill.runtime import cut, discard
+from feedmill.runtime import cut, discard, tidied
 
 WORDS = 5
 #: Least similarity as a fraction.
@@ -34,6 +39,10 @@ SAMPLE_ROWS = 20_000
 MOST_FREQUENT = 200_000
 #: Texts whose keys a worker hands over at once.
 PACK = 200
+#: Pairs that a worker hands over at once.
+MOST_HELD = 1 << 16
+#: Bits of a text's parity map, in which each shingle turns one.
+PARITY = 1024
 #: With more texts to fetch for verification than this, fetching is left to a shuffle.
 BROADCAST_TEXTS = 1_000_000
 
@@ -85,7 +94,7 @@ def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     total = texts.count()
     some = texts.sample(SAMPLE_ROWS / total, 1) if total > SAMPLE_ROWS else texts
-    found = some.mapInArrow(run, "s long").groupBy("s").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "s").limit(MOST_FREQUENT).toArrow()
+    found = some.mapInArrow(tidied(run), "s long").groupBy("s").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "s").limit(MOST_FREQUENT).toArrow()
     common, counts = (np.asarray(found.column(k).to_numpy()) for k in (0, 1))
     common = common.astype(np.int64).view(np.uint64)
     order = np.argsort(common)
@@ -120,7 +129,7 @@ def _keyed(texts: DataFrame) -> DataFrame:
                         ["key", "h", "n"],
                     )
 
-    return texts.mapInArrow(run, "key long, h long, n int")
+    return texts.mapInArrow(tidied(run), "key long, h long, n int")
 
 
 def _met(keyed: DataFrame) -> DataFrame:
@@ -150,32 +159,118 @@ def _met(keyed: DataFrame) -> DataFrame:
         if paired:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["key", "h", "n"])
 
-    return keyed.repartition("key").sortWithinPartitions("key", "h").mapInArrow(run, "key long, h long, n int")
+    return keyed.repartition("key").sortWithinPartitions("key", "h").mapInArrow(tidied(run), "key long, h long, n int")
 
 
-def _across(keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray, roots: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Pairs under one key that are not connected yet and whose sizes allow the similarity."""
+def _fetched(texts: DataFrame, needed: DataFrame) -> DataFrame:
+    """One text for each row of ``needed``, by h, beside its other columns."""
+    few = F.broadcast(needed) if needed.count() <= BROADCAST_TEXTS else needed
+    return cut(texts.join(few, "h").groupBy("h").agg(*[F.first(c).alias(c) for c in ("text", *needed.columns) if c != "h"]))
+
+
+def _shingled(found: DataFrame) -> DataFrame:
+    """(h, text, root) -> (key, h, n, root) for all shingles of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, PACK):
+                part = b.slice(at, PACK)
+                sets = [shingle_set(t.as_py()) for t in part.column(1)]
+                each = np.array([len(x) for x in sets], np.int32)
+                h, root = (np.repeat(part.column(i).to_numpy(zero_copy_only=False), each) for i in (0, 2))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), pa.array(h), pa.array(np.repeat(each, each)), pa.array(root)], ["key", "h", "n", "root"])
+
+    return found.select("h", "text", "root").mapInArrow(tidied(run), "key long, h long, n int, root long")
+
+
+def _parity(keys: np.ndarray, own: np.ndarray, texts: int) -> np.ndarray:
+    """A row of bits for each text: two sets differ in as many shingles as their rows in bits, at least."""
+    out = np.zeros((texts, PARITY // 8), np.uint8)
+    bit = keys.view(np.uint64) % np.uint64(PARITY)
+    np.bitwise_xor.at(out, (own, (bit >> np.uint64(3)).astype(np.int64)), np.uint8(1) << (bit & np.uint64(7)).astype(np.uint8))
+    return out
+
+
+def _narrowed(rows: DataFrame, first: bool) -> DataFrame:
+    """(key, h, n, root) -> (key, h, n, root, rest, many, bits): the shingles that texts of several roots have.
+
+    Only those can be common to a pair of different roots, so a text goes if they are less than
+    four fifths of its set.  ``rest`` is what the set has from this shingle on, in the order
+    of the number of texts, rare ones first and those of one root before all.  With ``first`` the plain
+    prefix remains, ``n - ceil(0.8 n) + 1`` shingles, beside the number of all that remained and their parity map.
+    """
+    counts = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("f")).filter("lo <> hi")
+    counts = cut(counts.select("key", "f"))
+
+    def whole(now: list[np.ndarray]) -> pa.RecordBatch:
+        h, n = now[1], now[2].astype(np.int64)
+        begin = np.concatenate(([0], np.flatnonzero(np.diff(h)) + 1))
+        each = np.diff(np.append(begin, len(h)))
+        many = np.repeat(each, each)
+        rest = np.repeat(begin + each, each) - np.arange(len(h))
+        stay = UNDER * many >= OVER * n
+        if first:
+            stay &= UNDER * rest >= OVER * n
+            own = np.repeat(np.arange(len(each)), each)
+            maps = [x.tobytes() for x in _parity(now[0], own, len(each))]
+            bits = pa.array([maps[i] for i in own[stay].tolist()], pa.binary())
+        else:
+            bits = pa.nulls(int(stay.sum()), pa.binary())
+        return pa.RecordBatch.from_arrays([*(pa.array(x[stay]) for x in (*now, rest.astype(np.int32), many.astype(np.int32))), bits], ["key", "h", "n", "root", "rest", "many", "bits"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            now = [b.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            if held:
+                now = [np.concatenate([x, y]) for x, y in zip(held, now)]
+            last = int(np.searchsorted(now[1], now[1][-1]))
+            if last:
+                yield whole([x[:last] for x in now])
+            held = [x[last:] for x in now]
+        if held:
+            yield whole(held)
+
+    shared = rows.select("key", "h", "n", "root").join(counts, "key").repartition("h").sortWithinPartitions("h", "f", "key")
+    out = cut(shared.select("key", "h", "n", "root").mapInArrow(tidied(run), "key long, h long, n int, root long, rest int, many int, bits binary"))
+    discard(counts)
+    return out
+
+
+def _across(keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray, roots: np.ndarray, rests: np.ndarray, many: np.ndarray, maps: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Pairs of different roots that can be similar if this key is the first that both have, and by their parity maps."""
+    bits = np.frombuffer(b"".join(maps), np.uint64).reshape(len(keys), -1)
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]))
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    held = 0
     for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         for i in range(lo, hi - 1):
             j = np.arange(i + 1, hi)
-            small, big = np.minimum(sizes[j], sizes[i]), np.maximum(sizes[j], sizes[i])
-            fit = (roots[j] != roots[i]) & (UNDER * small >= OVER * big)
-            j, small = j[fit], small[fit]
+            j = j[(roots[j] != roots[i]) & ((UNDER + OVER) * np.minimum(rests[j], rests[i]) >= OVER * (sizes[j] + sizes[i]))]
+            # what two sets have in common is half of what their sizes are over their difference
+            both = many[j] + many[i] - np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            j = j[(UNDER + OVER) * both >= 2 * OVER * (sizes[j] + sizes[i])]
             if len(j):
-                u, v = np.minimum(ids[j], ids[i]), np.maximum(ids[j], ids[i])
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array((spare(small) + 1).astype(np.int32))], ["u", "v", "least"])
+                found.append((np.minimum(ids[j], ids[i]), np.maximum(ids[j], ids[i])))
+                held += len(j)
+            if held >= MOST_HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["u", "v"])
+                found, held = [], 0
+    if found:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["u", "v"])
 
 
-def _pairs_across(met: DataFrame) -> DataFrame:
-    """(key, h, n, root) -> pairs of texts of different roots that meet under as many keys as similar ones do."""
+def _pairs_across(first: DataFrame) -> DataFrame:
+    """(key, h, n, root, rest, many, bits) -> pairs of texts of different roots that may be similar by where they first meet and by their bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for b in batches:
             if not b.num_rows:
                 continue
-            now = [b.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            now = [b.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
             if held:
                 now = [np.concatenate([x, y]) for x, y in zip(held, now)]
             last = int(np.searchsorted(now[0], now[0][-1]))
@@ -185,15 +280,14 @@ def _pairs_across(met: DataFrame) -> DataFrame:
         if held:
             yield from _across(*held)
 
-    pairs = met.select("key", "h", "n", "root").repartition("key").sortWithinPartitions("key").mapInArrow(run, "u long, v long, least int")
-    return pairs.groupBy("u", "v", "least").agg(F.count("*").alias("m")).filter("m >= least").select("u", "v")
+    pairs = first.select("key", "h", "n", "root", "rest", "many", "bits").repartition("key").sortWithinPartitions("key").mapInArrow(tidied(run), "u long, v long")
+    return pairs.distinct()
 
 
 def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs that are similar, by their texts."""
     needed = cut(pairs.select(F.col("u").alias("h")).union(pairs.select("v")).distinct())
-    few = F.broadcast(needed) if needed.count() <= BROADCAST_TEXTS else needed
-    found = cut(texts.join(few, "h").groupBy("h").agg(F.first("text").alias("text")))
+    found = _fetched(texts, needed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own = None, None
@@ -208,7 +302,7 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     both = pairs.join(found.select(F.col("h").alias("u"), F.col("text").alias("a")), "u").join(
         found.select(F.col("h").alias("v"), F.col("text").alias("b")), "v"
     )
-    links = cut(both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long"))
+    links = cut(both.select("u", "v", "a", "b").mapInArrow(tidied(run), "u long, v long"))
     discard(found)
     discard(needed)
     return links
@@ -245,10 +339,16 @@ def near_links(docs: DataFrame, candidates: DataFrame | None = None) -> DataFram
     roots = cut(connected_components(links))
     named = met.join(roots, met.h == roots.node, "left").select("key", "h", "n", F.coalesce("root", "h").alias("root"))
     mixed = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    rest = cut(_pairs_across(named.join(mixed, "key", "left_semi")).join(seen, ["u", "v"], "left_anti"))
+    apart = named.join(mixed, "key", "left_semi").groupBy("h", "n", "root").agg(F.count("*").alias("m")).filter(F.col("m") > spare(partner))
+    apart = cut(apart.select("h", "root"))
+    found = _fetched(texts, apart)
+    rows = cut(_shingled(found))
+    shared = _narrowed(rows, False)
+    first = _narrowed(shared, True)
+    rest = cut(_pairs_across(first).join(seen, ["u", "v"], "left_anti"))
     out = links.unionByName(_verified(texts, rest))
-    discard(met)
-    discard(star)
+    for done in (met, star, apart, found, rows, shared, first):
+        discard(done)
     return out
 
 

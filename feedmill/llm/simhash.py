@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.llm.components import connected_components, keep_first
-from feedmill.runtime import cut
+from feedmill.runtime import cut, tidied
 
 PIVOTS = 12
 SMALL = 48
@@ -65,7 +65,7 @@ def with_fingerprint(docs: DataFrame, words_per_shingle: int = 4) -> DataFrame:
             fps = [simhash64(t.as_py(), words_per_shingle) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidied(run), "doc_id long, fp long")
 
 
 def references(n: int = PIVOTS) -> np.ndarray:
@@ -213,7 +213,7 @@ def _links_of_level(rows: DataFrame, max_bits: int, agree: int, last: bool) -> D
         if held:
             yield from found(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
 
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(linked, "u long, v long, hot boolean")
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(tidied(linked), "u long, v long, hot boolean")
 
 
 def fingerprint_links(fps: DataFrame, max_bits: int = 4, levels: tuple[int, ...] = LEVELS) -> DataFrame:
@@ -232,7 +232,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4, levels: tuple[int, ...]
                         k = (k.view(np.uint64) ^ (old * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(f)], ["key", "fp"])
 
-        got = _links_of_level(rows.mapInArrow(keyed, "key long, fp long"), max_bits, agree, n + 1 == len(levels))
+        got = _links_of_level(rows.mapInArrow(tidied(keyed), "key long, fp long"), max_bits, agree, n + 1 == len(levels))
         got = cut(got)
         links = got.filter("not hot").select("u", "v")
         out = links if out is None else out.unionByName(links)

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedmill.runtime import tidied
+
 WORDS = re.compile(r"[^\W\d_]+")
 STARTS = (3, 4, 5, 6, 7)
 TRAIN_ROWS = 3000  # bound of the labelled sample that the driver fits on
@@ -315,12 +317,12 @@ def with_score(docs: DataFrame, model: Model, column: str) -> DataFrame:
     """``docs`` and the score of its text, empty if null, in ``column``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("double")
-    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         one = sent.value.scorer()
         for b in batches:
             yield pa.array([one(t.as_py()) for t in b], pa.float64())
 
+    score = F.arrow_udf(tidied(run), "double")
     return docs.withColumn(column, score(F.col("text").cast("string")))
 
 

@@ -3,19 +3,29 @@
 Lineage is cut by writing a Parquet table below ``spark.checkpoint.dir``, the
 folder that driver and executors share.  Only when that setting is absent and
 the master is local (tests, laptops) is a temporary folder used instead.
+
+Python workers outlive the tasks and stages that they serve, with the memory that these leave.
+Functions for Arrow batches are passed through :func:`tidied`, which gives it back.
 """
 
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_ROOT: list[str] = []
 _WRITTEN: dict[str, SparkSession] = {}
+#: What empties a cache that a worker keeps between the tasks of one stage.
+FORGET: list[Callable[[], None]] = []
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +80,31 @@ def settled(df: DataFrame, made: list[str]) -> DataFrame:
     return kept.select(*[F.col(c) if c in rest else F.col(f"_settled.{c}").alias(c) for c in df.columns])
 
 
+def give_back() -> None:
+    """Return free memory of this process to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidied(run: Callable[[Iterator], Iterator], keep: bool = False) -> Callable[[Iterator], Iterator]:
+    """``run``, a function of an iterator of batches, that leaves no memory behind in its worker.
+
+    What a worker keeps for the tasks of another stage goes first, unless ``keep`` says that this is that stage.
+    """
+
+    @functools.wraps(run)
+    def tidy(batches: Iterator) -> Iterator:
+        if not keep:
+            for forget in FORGET:
+                forget()
+        give_back()
+        yield from run(batches)
+        give_back()
+
+    return tidy
+
+
 def discard(df: DataFrame) -> None:
     """Delete the table behind a frame made by :func:`cut`."""
     path = getattr(df, "_scratch_path", None)

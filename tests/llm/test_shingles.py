@@ -3,6 +3,7 @@
 import random
 from itertools import combinations
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -97,3 +98,42 @@ def test_texts_that_share_a_passage_are_not_compared(spark, monkeypatch):
     monkeypatch.setattr(shingles, "_verified", counted)
     links = shingles.near_links(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(links) == 1 and sum(compared) <= 2
+
+
+def edited(rnd, stem, share, mark):
+    """The stem's words, each replaced by one of its own at the rate ``share``."""
+    return " ".join(f"{mark}e{i}" if rnd.random() < share else w for i, w in enumerate(stem))
+
+
+@pytest.mark.parametrize("sample", [1, 20_000])
+def test_near_copies_below_the_threshold_are_not_compared_pairwise(spark, monkeypatch, sample):
+    """However little the sample tells of the shingles' frequencies."""
+    rnd = random.Random(3)
+    stem = [f"w{i}" for i in range(400)]
+    rows = [(i, edited(rnd, stem, 0.05, f"d{i}")) for i in range(70)]
+    rows += [(100 + i, edited(rnd, rows[i][1].split(), 0.005, f"c{i}")) for i in range(20)]
+    want, links = survivors(rows)
+    assert 15 <= links <= 40
+    compared, verified = [], shingles._verified
+
+    def counted(texts, pairs):
+        compared.append(pairs.count())
+        return verified(texts, pairs)
+
+    monkeypatch.setattr(shingles, "_verified", counted)
+    monkeypatch.setattr(shingles, "SAMPLE_ROWS", sample)
+    got = shingles.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in got.collect()} == want and compared[-1] <= 60
+
+
+def test_links_near_the_threshold_equal_brute_force_whatever_the_sample(spark, monkeypatch):
+    rnd = random.Random(7)
+    rows = []
+    for g in range(12):
+        stem = [f"g{g}w{i}" for i in range(rnd.choice([6, 30, 120, 400]))]
+        rows += [(len(rows) + i, edited(rnd, stem, rnd.choice([0.005, 0.01, 0.015, 0.02, 0.03]), f"g{g}d{i}")) for i in range(25)]
+    want, links = survivors(rows)
+    assert links > 100
+    monkeypatch.setattr(shingles, "SAMPLE_ROWS", 1)
+    got = shingles.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in got.collect()} == want
